@@ -17,7 +17,7 @@ shingles of its own alone than it may lack has none. Shingles are counted by ran
 The boundary is where the keys of both kinds, counted over the sizes in the table, cost least. Sets that share a key form
 candidate components; every set of these travels once to its component, and exact intersections there find the links: a set
 that a leader links needs no comparison with the leader's other sets, so copies are not expanded into pairs. Components of
-more than GROUP sets are compared block by block, so no task holds more than two blocks."""
+more than GROUP sets are compared block by block, so no task holds more than two blocks of about GROUP sets."""
 
 from __future__ import annotations
 
@@ -346,8 +346,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     groups = components(candidates)
     members = classes.join(groups, F.col("hi") == F.col("id")).select("doc", F.col("component").alias("group"))
     members = materialize(members, "members")
-    blocks = members.withColumn("at", F.row_number().over(Window.partitionBy("group").orderBy("doc")) - 1).withColumn("of", F.count("*").over(Window.partitionBy("group")))
-    blocks = blocks.select("doc", "group", F.floor(F.col("at") / GROUP).alias("block"), F.ceil(F.col("of") / GROUP).alias("blocks"))
+    # about GROUP sets a block, by hash: a large group is counted before the shuffle and never in one task
+    counted = members.groupBy("group").agg(F.ceil(F.count("*") / GROUP).alias("blocks"))
+    blocks = members.join(counted, "group").select("doc", "group", F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("block"), "blocks")
     blocks = materialize(blocks, "blocks")
     own = texts.select(F.col("doc_id").alias("doc"), "text").join(small(blocks.select("doc", "group")), "doc").select("group", "doc", "text")
     sets = own.mapInArrow(_sets(shingle), "group long, doc long, shingles binary")
