@@ -8,7 +8,7 @@ radix-sorted by most-significant-digit passes, and a pass only hands on what is
    shuffles about 2 / (window - GRAM + 2) rows a byte instead of one. Digit two is the context, all bytes that the windows
    of the run cover. Anchors equal in both digits are equal windows throughout: all but the first are repeats.
 2. Where a gram has several contexts, the windows of the first anchor of each context are written out, and the last digit
-   is the whole window.
+   is the whole window (96 bits of hash).
 
 Rows of a very frequent string: within a batch of documents only the first anchor (window) of each digit goes into the
 shuffle by digit; the later ones are known to be repeats and are spread evenly."""
@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 from .bytehash import RangeHash, as_long, mix
 from .shared import NULL_ID, ids_of, materialize, text_blocks, utf8_column
 
-GRAM = 36
+GRAM = 52
 #: Bytes of one document that are worked on at once; longer documents go in pieces that overlap by a window.
 PIECE = 1 << 20
 
-_ANCHORS = "kg long, ctx long, doc long, start long, n int, dup boolean"
-_WINDOWS = "h1 long, h2 long, doc long, start long, dup boolean"
+_ANCHORS = "kg long, ctx long, doc long, start int, n short, dup boolean"
+_WINDOWS = "h1 long, h2 int, doc long, start int, dup boolean"
 
 
 def _grams(data: np.ndarray, seed: int, size: int) -> np.ndarray:
@@ -126,7 +126,8 @@ def _batch(keys: list[np.ndarray], doc: np.ndarray, start: np.ndarray, more: lis
     dup = _later(keys, doc, start)
     spread = mix(doc.view(np.uint64) * np.uint64(31) + start.view(np.uint64))
     first = np.where(dup, spread, keys[0])
-    return pa.RecordBatch.from_arrays([pa.array(as_long(first)), pa.array(as_long(keys[1])), pa.array(doc), pa.array(start), *map(pa.array, more), pa.array(dup)], names)
+    second = keys[1].view(np.int32) if keys[1].dtype == np.uint32 else as_long(keys[1])
+    return pa.RecordBatch.from_arrays([pa.array(as_long(first)), pa.array(second), pa.array(doc), pa.array(start.astype(np.int32)), *map(pa.array, more), pa.array(dup)], names)
 
 
 def _anchors(window: int):
@@ -137,7 +138,7 @@ def _anchors(window: int):
             parts = []
             for a, at, block, rows in _pieces(data, offsets, window):
                 kg, ctx, row, lo, count = _runs(block, rows, window)
-                parts.append((kg, ctx, ids[a + row], lo - rows[row] + at, count.astype(np.int32)))
+                parts.append((kg, ctx, ids[a + row], lo - rows[row] + at, count.astype(np.int16)))
             if parts:
                 kg, ctx, doc, start, count = (np.concatenate(x) for x in zip(*parts, strict=True))
                 yield _batch([kg, ctx], doc, start, [count], ["kg", "ctx", "doc", "start", "n", "dup"])
@@ -160,7 +161,7 @@ def _windows(window: int):
                 text = data[offsets[i] : offsets[i + 1]]
                 at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
                 h1 = RangeHash.ranges(_RANGE.prefixes(text), at, at + window)
-                h2 = RangeHash.ranges(_RANGE2.prefixes(text), at, at + window)
+                h2 = (RangeHash.ranges(_RANGE2.prefixes(text), at, at + window) >> np.uint64(32)).astype(np.uint32)
                 parts.append((h1, h2, np.full(len(at), ids[i]), at))
                 size += len(at)
                 if size > 1 << 20 or i == len(ids) - 1:
@@ -224,7 +225,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     # the same place under the same id (a repeated row) is no repeat of itself
     placed = placed.withColumn("repeat", F.col("repeat") & ~(F.coalesce("_d", F.lit(False)) & F.coalesce("_s", F.lit(False))))
-    code = (F.shiftleft("start", 16) + F.col("n")).alias("run")
+    code = (F.shiftleft(F.col("start").cast("long"), 16) + F.col("n")).alias("run")
     digits = materialize(placed.filter("repeat or mixed").select("doc", code, "repeat"), "repeats-1")
 
     open_runs = digits.filter("not repeat").groupBy("doc").agg(F.collect_list("run").alias("runs"))
@@ -232,7 +233,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     windows = keyed.join(open_runs, "doc").select("doc", "text", "runs").mapInArrow(_windows(window), _WINDOWS)
     sort = Window.partitionBy("h1", "h2").orderBy("doc", "start")
     later = windows.select("doc", "start", "dup", F.first(F.struct("doc", "start")).over(sort).alias("f")).filter("dup or f.doc <> doc or f.start <> start")
-    marks = materialize(digits.filter("repeat").select("doc", "run").union(later.select("doc", F.shiftleft("start", 16) + 1)), "repeats-2")
+    marks = materialize(digits.filter("repeat").select("doc", "run").union(later.select("doc", F.shiftleft(F.col("start").cast("long"), 16) + 1)), "repeats-2")
 
     cut = keyed.join(marks.groupBy("doc").agg(F.collect_list("run").alias("runs")), "doc", "left").select("doc", "text", "runs")
     out = cut.mapInArrow(_cut(window), "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
