@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import documents, series
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**series.QUERIES, **documents.QUERIES}
+ORACLE_SQL: dict[str, str] = {**series.SQL, **documents.SQL}
 FLAGSHIP = "x05_s3b_weekly"
