@@ -18,49 +18,136 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import materialize, small
+from .bytehash import LOWER, RangeHash, mix, words
+from .shared import materialize, small, text_blocks, trimmed, utf8_column
 
-#: Words of which a worker keeps the tokens.
-WORDS = 400_000
+#: Runs of which a worker keeps the tokens.
+WORDS = 1_000_000
 
 
-class _Words(dict):
-    """Token ids (little-endian unsigned 32-bit) of each run of characters other than space and line feed.
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_RANGE = RangeHash(41)
 
-    The tokenizer splits at white space and never joins over it, so a text's ids are those of its runs in order."""
+
+class _Words:
+    """Token ids of texts, run by run; a run is what stands between spaces and line feeds.
+
+    The tokenizer splits at white space and never joins over it, so a text's ids are those of its runs in order. It also
+    lower-cases and splits letters from signs: a run of letters (ASCII, and the Latin-1 ones of two bytes) has the ids of its
+    lower-cased letters, and with a full stop or comma behind them also the sign's. Ids are kept by hash of the run, and
+    only runs that are new to the worker go to the tokenizer."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def ids(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        if len(word) > 64:
-            return self.ids(word)
-        if word.isascii() and not word.islower():
-            lower = word.lower()
-            out = self[lower] if lower != word else self.ids(word)
-        elif word[-1:] in (".", ",") and word[:-1].isalpha():
-            out = self[word[:-1]] + self[word[-1]]
-        else:
-            out = self.ids(word)
-        if len(self) >= WORDS:
-            self.clear()
-        self[word] = out
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.signs = {c: self._one(chr(c)) for c in b".,"}
+        self._forget()
+
+    def _one(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _forget(self) -> None:
+        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes, and places in first and size
+        self.first, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def _encode(self, runs: list[str], letters: np.ndarray) -> list[np.ndarray]:
+        """Runs of letters alone are a word each, and a word's last token says so: they go as one text."""
+        out: list = [None] * len(runs)
+        plain = np.flatnonzero(letters).tolist()
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([runs[i] for i in plain])], add_special_tokens=False)[0].ids, "<u4")
+            cut = np.flatnonzero(self.ends[ids]) + 1
+            if len(cut) == len(plain):
+                for i, a, b in zip(plain, [0, *cut[:-1].tolist()], cut.tolist(), strict=True):
+                    out[i] = ids[a:b]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, found in zip(rest, self.tokenizer.encode_batch_fast([runs[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = np.array(found.ids, "<u4")
         return out
 
+    def _learn(self, keys: np.ndarray, runs: list[str], letters: np.ndarray) -> None:
+        found = self._encode(runs, letters)
+        size = np.array([len(x) for x in found], np.int64)
+        first = len(self.pool) + np.concatenate(([0], np.cumsum(size)[:-1]))
+        slot = len(self.first) + np.arange(len(keys))
+        self.first, self.size, self.pool = np.append(self.first, first), np.append(self.size, size), np.concatenate((self.pool, *found))
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.slot = np.insert(self.keys, at, keys), np.insert(self.slot, at, slot)
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts on end, where each text's begin and end) for texts given as bytes and offsets."""
+        start, end, row = words((data != 32) & (data != 10), offsets)
+        if not len(start):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        if len(self.keys) > WORDS:
+            self._forget()
+        # two-byte letters of Latin-1: 0xC3 and 0x80 .. 0xBF but the signs 0x97 and 0xB7
+        low = LOWER[data]
+        second = np.zeros(len(data), bool)
+        second[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0xBF) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        upper = second & (data >= 0x80) & (data <= 0x9E)
+        low = np.where(upper, data + np.uint8(32), low)
+        letter = _LETTER[data] | second
+        letter[:-1] |= second[1:]
+        other = np.concatenate(([0], np.cumsum(~letter)))
+        last = data[end - 1]
+        sign = np.where((last == 46) | (last == 44), last, 0)
+        sign[end - start < 2] = 0
+        stop = end - (sign > 0)
+        letters = other[stop] == other[start]
+        sign[~letters] = 0
+        stop = np.where(letters, stop, end)
+        key = np.empty(len(start), np.uint64)
+        key[letters] = RangeHash.ranges(_RANGE.prefixes(low), start[letters], stop[letters])
+        key[~letters] = mix(RangeHash.ranges(_RANGE.prefixes(data), start[~letters], stop[~letters]) + np.uint64(1))
+        unique, at, inverse = np.unique(key, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.keys, unique)
+        known = np.zeros(len(unique), bool)
+        known[place < len(self.keys)] = self.keys[place[place < len(self.keys)]] == unique[place < len(self.keys)]
+        if not known.all():
+            new = at[~known]
+            raw, flat = low.tobytes(), data.tobytes()
+            runs = [(raw if ok else flat)[a:b].decode("utf-8", "replace") for a, b, ok in zip(start[new].tolist(), stop[new].tolist(), letters[new].tolist(), strict=True)]
+            self._learn(unique[~known], runs, letters[new])
+            place = np.searchsorted(self.keys, unique)
+        slot = self.slot[place][inverse]
+        # each run's ids and then its sign's, taken from the pool with the signs behind it
+        pool, more = self.pool, {}
+        for c, ids in self.signs.items():
+            more[c] = (len(pool), len(ids))
+            pool = np.concatenate((pool, ids))
+        first, size = np.zeros((len(slot), 2), np.int64), np.zeros((len(slot), 2), np.int64)
+        first[:, 0], size[:, 0] = self.first[slot], self.size[slot]
+        for c, (a, n) in more.items():
+            first[sign == c, 1], size[sign == c, 1] = a, n
+        first, size = first.ravel(), size.ravel()
+        total = np.concatenate(([0], np.cumsum(size)))
+        out = pool[np.repeat(first - total[:-1], size) + np.arange(total[-1])]
+        return out, total[2 * np.searchsorted(row, np.arange(len(offsets)))]
+
+
+_HELD: dict[str, _Words] = {}
+
+
+def words_of(path: str) -> _Words:
+    """One per worker process, for all its tasks."""
+    if path not in _HELD:
+        _HELD[path] = _Words(path)
+    return _HELD[path]
+
 
 def _tokenised(path: str, capacity: int, end: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        words = _Words(path)
-        words[""] = b""
+        known = words_of(path)
         last = np.array([end], "<u4").tobytes()
         ranks = np.zeros(capacity + 1, np.int64)
         size = 4 * capacity
@@ -73,19 +160,18 @@ def _tokenised(path: str, capacity: int, end: int) -> Callable:
             )
 
         for batch in batches:
-            rows, held = [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                tokens = b"".join(map(words.__getitem__, (text.as_py() or "").replace("\n", " ").split(" "))) + last
-                for piece, at in enumerate(range(0, len(tokens), size)):
-                    ids = tokens[at : at + size]
-                    n = len(ids) // 4
-                    rows.append((doc, piece, at // 4, n, int(ranks[n]), ids))
-                    ranks[n] += 1
-                    held += len(ids)
-                if held > 1 << 23:
-                    yield out(rows)
-                    rows, held = [], 0
-            if rows:
+            data, offsets = utf8_column(batch.column(1))
+            docs = batch.column(0).to_pylist()
+            for a, b in text_blocks(offsets):
+                flat, bounds = known.ids(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                flat, rows = flat.tobytes(), []
+                for k, doc in enumerate(docs[a:b]):
+                    tokens = flat[4 * bounds[k] : 4 * bounds[k + 1]] + last
+                    for piece, at in enumerate(range(0, len(tokens), size)):
+                        ids = tokens[at : at + size]
+                        n = len(ids) // 4
+                        rows.append((doc, piece, at // 4, n, int(ranks[n]), ids))
+                        ranks[n] += 1
                 yield out(rows)
 
     return run
@@ -189,7 +275,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     table gives an empty result; further columns are not looked at. The tokenizer's file must be there on every machine."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, part long, rank long, ids binary"
-    pieces = materialize(texts.mapInArrow(_tokenised(tokenizer, capacity, end), schema), "pieces")
+    pieces = materialize(texts.mapInArrow(trimmed(_tokenised(tokenizer, capacity, end)), schema), "pieces")
     counts = materialize(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "lengths")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
     steps = np.array(sorted(best_fit_decreasing(histogram, capacity)), np.int64).reshape(-1, 6)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 #: Rows (of a few numbers each) up to which a side of a join is broadcast; a larger side is shuffled.
 BROADCAST_ROWS = 100_000
 #: Bytes of text that a numeric kernel works on at once; a longer document is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -84,6 +86,24 @@ def utf8_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def trimmed(run: Callable) -> Callable:
+    """An iterator function that gives freed memory back to the system when its task ends: workers live on for other tasks."""
+
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other systems than glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def ids_of(column: pa.Array) -> np.ndarray:
     """Long ids; null becomes the smallest long."""
     return np.asarray(column.cast(pa.int64()).fill_null(NULL_ID), dtype=np.int64)
