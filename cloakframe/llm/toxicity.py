@@ -18,11 +18,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytehash import ALNUM, SPACE, RangeHash, mix, words
-from .shared import text_blocks, utf8_column
+from .shared import text_blocks, trimmed, utf8_column
 
 SAMPLE, TERMS, FOLDS = 4000, 768, 4
-PREFIXES = (4, 6)
-RIDGE, STEPS = 2e-4, 120
+#: Least association (in standard deviations) of a term with a category.
+LEAST_Z = 5.0
+PREFIXES = (6, 7, 8)
+RIDGE, STEPS = 3e-4, 300
 _HASH = RangeHash(31)
 
 
@@ -47,16 +49,18 @@ def _terms(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights (the last is the intercept) of a ridge logistic regression, by accelerated gradient steps."""
+    """Weights (the last is the intercept) of a ridge logistic regression, by accelerated gradient steps.
+
+    Both classes weigh the same, so a rare category is not drowned."""
     n, d = x.shape
     w = np.zeros(d + 1, np.float32)
-    rate = float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)))
-    w[-1] = rate
+    each = np.where(y > 0, 0.5 / max(float(y.mean()), 1 / n), 0.5 / max(float(1 - y.mean()), 1 / n)).astype(np.float32)
     step = 4.0 / (float((x * x).sum(axis=1).mean()) + 1)
     ahead, t = w.copy(), 1.0
     for _ in range(STEPS):
         p = 1 / (1 + np.exp(-np.clip(x @ ahead[:-1] + ahead[-1], -30, 30)))
-        g = np.append(x.T @ (p - y) / n + RIDGE * ahead[:-1], (p - y).mean()).astype(np.float32)
+        error = (p - y) * each
+        g = np.append(x.T @ error / n + RIDGE * ahead[:-1], error.mean()).astype(np.float32)
         new = ahead - np.float32(step) * g
         t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
         ahead, w = new + np.float32((before - 1) / t) * (new - w), new
@@ -104,9 +108,18 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
     marks = [(F.col(c).cast("int") > 0).cast("int").alias(n) for c, n in zip(categories, names, strict=True)]
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), *marks).dropna().groupBy("doc_id").agg(*[F.max(n).alias(n) for n in names])
     known = known.withColumn("_h", F.xxhash64("doc_id"))
-    sizes = known.select(*names).distinct().count()
+    counts = known.groupBy(*names).agg(F.count("*").alias("n")).collect()  # a row a combination of labels
+    sizes = len(counts)
     if not sizes:
         return None
+    # a large combination is first thinned by hash to about three times its part, so no task sorts all of it
+    keep = F.lit(True)
+    for r in counts:
+        own = F.lit(True)
+        for name in names:
+            own = own & (F.col(name) == r[name])
+        keep = F.when(own, F.pmod("_h", F.lit(max(1, r["n"] * sizes // (3 * SAMPLE)))) == 0).otherwise(keep)
+    known = known.filter(keep)
     nth = F.row_number().over(Window.partitionBy(*names).orderBy("_h", "doc_id"))
     sample = known.withColumn("_n", nth).filter(F.col("_n") <= SAMPLE // sizes).select("doc_id", "_h", *names)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
@@ -127,7 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
         rate = y[:, k].mean()
         z = np.abs(inside - df * rate) / np.sqrt(df * rate * (1 - rate) + 1)
         z[df < 4] = 0
-        chosen |= set(np.argsort(-z, kind="stable")[:TERMS][np.sort(-z, kind="stable")[:TERMS] < -2].tolist())
+        chosen |= set(np.argsort(-z, kind="stable")[:TERMS][np.sort(-z, kind="stable")[:TERMS] < -LEAST_Z].tolist())
     pick = np.array(sorted(chosen), np.int64)
     x = np.zeros((n, len(pick)), np.float32)
     if len(pick):
@@ -169,4 +182,4 @@ def score(docs: DataFrame, chain: Chain | None, categories: list[str], id_col: s
     if chain is None:
         return texts.select("doc_id", *[F.lit(None).cast("double").alias(c) for c in categories])
     held = docs.sparkSession.sparkContext.broadcast(chain)  # TERMS a category at most
-    return texts.mapInArrow(_predict(held), "doc_id long, " + ", ".join(f"`{c}` double" for c in categories))
+    return texts.mapInArrow(trimmed(_predict(held)), "doc_id long, " + ", ".join(f"`{c}` double" for c in categories))
