@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import ALNUM, RangeHash, mix, words
-from .shared import text_blocks, utf8_column
+from .shared import text_blocks, trimmed, utf8_column
 
 K1, B = 1.2, 0.75
 BLOCK = 8
@@ -204,7 +204,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for at in range(0, len(items), ITEMS):
         index = build(items[at : at + ITEMS], share)
         held = spark.sparkContext.broadcast(index)
-        found = texts.mapInArrow(_search(held, max(64, index.longest), share), _OUT)
+        found = texts.mapInArrow(trimmed(_search(held, max(64, index.longest), share)), _OUT)
         out = found if at == 0 else out.union(found)
     best = F.max_by(F.struct("passage", "score", "overlap", "question_overlap", "answer_overlap"), F.struct("overlap", "score", -F.col("passage"))).alias("best")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")

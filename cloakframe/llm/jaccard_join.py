@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .bytehash import LOWER, SPACE, RangeHash, as_long, mix, words
 from .components import components
-from .shared import ids_of, materialize, small, text_blocks, utf8_column
+from .shared import ids_of, materialize, small, text_blocks, trimmed, utf8_column
 
 GROUP = 2048
 #: The table of frequent shingles: at most so many, each counted this often in one batch and in all.
@@ -104,7 +104,7 @@ def _frequent(size: int) -> Callable:
 
 def frequent_shingles(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted hashes, class by logarithm of the count) of the most frequent shingles of texts (text)."""
-    counted = texts.select("text").mapInArrow(_frequent(size), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= IN_ALL)
+    counted = texts.select("text").mapInArrow(trimmed(_frequent(size)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= IN_ALL)
     top = counted.orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
     token, n = np.asarray(top.column("token"), np.int64).view(np.uint64), np.asarray(top.column("n"))
     order = np.argsort(token)
@@ -327,20 +327,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if not 50 <= threshold <= 100:
         raise ValueError("threshold must be in 50..100")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sizes = materialize(texts.mapInArrow(_sizes(shingle), "doc_id long, n long, hi long, lo long"), "sets")
+    sizes = materialize(texts.mapInArrow(trimmed(_sizes(shingle)), "doc_id long, n long, hi long, lo long"), "sets")
     classes = materialize(sizes.filter("n > 0 and doc_id is not null").groupBy("hi", "lo").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n")), "classes")
     counted = {r["n"]: r["c"] for r in classes.filter(F.col("n") <= LIGHT_MOST).groupBy("n").agg(F.count("*").alias("c")).collect()}
     partners = texts.filter("doc_id is not null")
     if threshold < RARE_BELOW:
         shingles = sizes.agg(F.sum("n")).first()[0] or 0
         buckets = max(1, -(-shingles // RANGE))
-        alone = partners.mapInArrow(_spread(shingle, buckets), "bucket int, hashes binary, texts binary, docs binary").groupBy("bucket").applyInPandas(_alone, "doc long, alone long")
+        alone = partners.mapInArrow(trimmed(_spread(shingle, buckets)), "bucket int, hashes binary, texts binary, docs binary").groupBy("bucket").applyInPandas(_alone, "doc long, alone long")
         alone = alone.groupBy("doc").agg(F.sum("alone").alias("alone"))
         left = classes.join(alone, "doc", "left").filter(F.coalesce("alone", F.lit(0)) * 100 <= (100 - threshold) * F.col("n")).select(F.col("doc").alias("doc_id"))
         partners = partners.join(small(materialize(left, "partners")), "doc_id")
     keys = Keys(threshold, light_boundary(counted, threshold), frequent_shingles(texts, shingle))
 
-    listed = partners.select("text").mapInArrow(_keyed(shingle, keys), "key long, set long")
+    listed = partners.select("text").mapInArrow(trimmed(_keyed(shingle, keys)), "key long, set long")
     centre = F.min("set").over(Window.partitionBy("key"))
     candidates = listed.select(centre.alias("a"), F.col("set").alias("b")).filter("a <> b").distinct()
     groups = components(candidates)
@@ -351,7 +351,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     blocks = members.join(counted, "group").select("doc", "group", F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("block"), "blocks")
     blocks = materialize(blocks, "blocks")
     own = texts.select(F.col("doc_id").alias("doc"), "text").join(small(blocks.select("doc", "group")), "doc").select("group", "doc", "text")
-    sets = own.mapInArrow(_sets(shingle), "group long, doc long, shingles binary")
+    sets = own.mapInArrow(trimmed(_sets(shingle)), "group long, doc long, shingles binary")
     sets = materialize(sets, "shingles").join(blocks.select("doc", "block", "blocks"), "doc")
     # pair (i, j), i <= j, of a group's blocks: a set of block b goes to (b, j) and (i, b)
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))

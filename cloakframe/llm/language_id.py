@@ -6,7 +6,7 @@ the codeword wants it positive, log(1 + exp(margin)) otherwise, times the bit's
 loss is chosen, and a text whose second choice costs nearly as little is flagged as ambiguous.
 
 Training counts n-grams over all labelled rows that may be learned from, summed by language and n-gram before they come to
-the driver: languages * 2**DIM_BITS numbers at most. The bits' weights are their accuracies on at most WEIGH_ROWS rows."""
+the driver: languages * 2**DIM_BITS numbers at most. The bits' weights are their accuracies on about WEIGH_ROWS rows, picked by hash (twice as many at most)."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import ALNUM, LOWER
-from .shared import text_blocks, utf8_column
+from .shared import give_back, text_blocks, trimmed, utf8_column
 
 DIM_BITS = 15
 #: Lengths of the n-grams, in bytes.
@@ -133,7 +133,7 @@ class Model:
 def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """A model from labelled rows (null labels and texts are left out); None if there are none."""
     labelled = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("text is not null and lang is not null")
-    counted = labelled.mapInArrow(_counts, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()
+    counted = labelled.mapInArrow(trimmed(_counts), "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()
     if not counted.num_rows:
         return None
     languages = sorted(set(counted.column("lang").to_pylist()))
@@ -145,8 +145,11 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     floor = 1e-6
     weights = np.stack([np.log((share[bit > 0].mean(axis=0) if (bit > 0).any() else 0) + floor) - np.log((share[bit < 0].mean(axis=0) if (bit < 0).any() else 0) + floor) for bit in codes.T], axis=1)
     model = Model(languages, codes, weights.astype(np.float32), np.ones(codes.shape[1]))
-    some = labelled.orderBy(F.xxhash64("text")).limit(WEIGH_ROWS).toArrow().combine_chunks()
     if len(languages) > 1:
+        total = labelled.count()
+        some = labelled.filter(F.pmod(F.xxhash64("text"), F.lit(max(1, total // WEIGH_ROWS))) == 0).limit(2 * WEIGH_ROWS).toArrow()
+    if len(languages) > 1 and some.num_rows:
+        some = some.combine_chunks()
         margins = model.margins(some.column("text").combine_chunks())
         wanted = codes[[where[x] for x in some.column("lang").to_pylist()]]
         right = np.clip(((margins * wanted) > 0).mean(axis=0), 0.55, 0.999)
@@ -156,13 +159,16 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
 
 
 def _predict(held) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
+
+    def run(text: pa.Array, letters: pa.Array) -> pa.Array:
         model = held.value
-        for batch in batches:
-            best, score, close = model.decode(model.margins(batch.column(0)))
-            letters = np.asarray(batch.column(1))
-            names = np.array([*model.languages, UNKNOWN], dtype=object)[np.where(letters, best, len(model.languages))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(names, pa.string()), pa.array(np.where(letters, score, 0.0)), pa.array(close & letters)], [*batch.schema.names[2:], "lang_pred", "score", "ambiguous"])
+        best, score, close = model.decode(model.margins(text))
+        letters = np.asarray(letters)
+        names = np.array([*model.languages, UNKNOWN], dtype=object)[np.where(letters, best, len(model.languages))]
+        out = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(np.where(letters, score, 0.0)), pa.array(close & letters)], fields=list(kind))
+        give_back()
+        return out
 
     return run
 
@@ -173,15 +179,11 @@ def predict(rows: DataFrame, model: Model | None, keep: list[str], text_col: str
     Null text or one without a letter: `und`, 0.0, false. A text of letters without any known n-gram: the codewords decide
     among equals, with score 1 / languages. Without a model every text is `und`. Rows stay as they are, also repeated ones;
     an empty table gives an empty result; further columns are not looked at."""
-    from pyspark.sql import types as T
-
-    named = [F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]
     letters: Column = F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False))
-    base = rows.select(F.col(text_col).cast("string").alias("_text"), letters.alias("_letters"), *named)
     if model is None:
-        out = base.select(*[f"_{i}" for i in range(len(keep))], F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("ambiguous"))
+        told = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("ambiguous"))
     else:
         held = rows.sparkSession.sparkContext.broadcast(model)  # languages and features are bounded
-        schema = T.StructType([*base.schema.fields[2:], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())])
-        out = base.mapInArrow(_predict(held), schema)
-    return out.withColumnsRenamed({f"_{i}": c for i, c in enumerate(keep)})
+        told = F.arrow_udf(_predict(held), "lang_pred string, score double, ambiguous boolean")(F.col(text_col).cast("string"), letters)
+    out = rows.select(*keep, told.alias("_told"))
+    return out.select(*keep, "_told.lang_pred", "_told.score", "_told.ambiguous")

@@ -9,13 +9,15 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import give_back
+
 
 #: A key for tests and queries; give a secret one of your own in use.
 PIPELINE_KEY = b"cloakframe-test-key"
@@ -198,7 +200,7 @@ KINDS: tuple[tuple[str, str, Callable[[str, bytes, bool], str | None]], ...] = (
     ("secret", r"\b(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})\b", _secret),
     ("ipv4", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)", _ipv4),
     ("date", r"(?<![\d/.-])(?:\d{4}([-/.])\d\d\1\d\d|\d\d([-/.])\d\d\2\d{4})(?![\d]|[/.-]\d)", _date),
-    ("card", r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d]|[.-]\d)", _card),
+    ("card", r"(?<![\d.-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{4,5})(?![\d]|[.-]\d)", _card),
     ("ssn", r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d]|-\d)", _ssn),
     ("phone", r"(?<![\d.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d]|[.-]\d)|(?<![\d.+-])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\d]|[.-]\d)", _phone),
 )
@@ -231,23 +233,24 @@ def _known(name: str, value: str, key: bytes, back: bool) -> str | None:
 
 
 def _run(key: bytes, back: bool) -> Callable:
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, spans = [], []
-            for value in batch.column(0):
-                text = value.as_py()
-                found = replacements(text, key, back) if text else []
-                if found:
-                    parts, at = [], 0
-                    for start, end, _, new in found:
-                        parts += [text[at:start], new]
-                        at = end
-                    text = "".join(parts) + text[at:]
-                texts.append(text)
-                spans.append([{"start": s, "end": e, "kind": k} for s, e, k, _ in found])
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(spans, kind), *batch.columns[1:]], ["text", "spans", *batch.schema.names[1:]])
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
+
+    def run(column: pa.Array) -> pa.Array:
+        texts, spans = [], []
+        for value in column:
+            text = value.as_py()
+            found = replacements(text, key, back) if text else []
+            if found:
+                parts, at = [], 0
+                for start, end, _, new in found:
+                    parts += [text[at:start], new]
+                    at = end
+                text = "".join(parts) + text[at:]
+            texts.append(text)
+            spans.append([{"start": s, "end": e, "kind": k} for s, e, k, _ in found])
+        out = pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(spans, span)], ["text", "spans"])
+        give_back()
+        return out
 
     return run
 
@@ -257,12 +260,7 @@ def pseudonymise(rows: DataFrame, key: bytes, text_col: str = "text", back: bool
 
     back=True undoes it with the same key. Null and empty texts stay as they are, with no spans. All other columns and all
     rows stay; a column named spans is replaced. An empty table gives an empty result."""
-    from pyspark.sql import types as T
-
-    rest = [c for c in rows.columns if c not in (text_col, "spans")]
-    base = rows.select(F.col(text_col).cast("string").alias("_text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(rest)])
-    span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("kind", T.StringType())]))
-    schema = T.StructType([T.StructField("text", T.StringType()), T.StructField("spans", span), *base.schema.fields[1:]])
-    out = base.mapInArrow(_run(key, back), schema)
-    placed = {c: F.col(f"_{i}").alias(c) for i, c in enumerate(rest)} | {text_col: F.col("text").alias(text_col)}
-    return out.select(*[placed[c] for c in rows.columns if c in placed], "spans")
+    done = F.arrow_udf(_run(key, back), "text string, spans array<struct<start:int,end:int,kind:string>>")(F.col(text_col).cast("string"))
+    rest = [c for c in rows.columns if c != "spans"]
+    out = rows.select(*rest, done.alias("_done"))
+    return out.select(*[F.col("_done.text").alias(c) if c == text_col else F.col(c) for c in rest], "_done.spans")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytehash import RangeHash, as_long, mix
-from .shared import NULL_ID, ids_of, materialize, text_blocks, utf8_column
+from .shared import NULL_ID, ids_of, materialize, text_blocks, trimmed, utf8_column
 
 GRAM = 52
 #: Bytes of one document that are worked on at once; longer documents go in pieces that overlap by a window.
@@ -216,7 +216,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if window < GRAM or window > 4096:
         raise ValueError(f"window must be in {GRAM}..4096")
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    anchors = texts.mapInArrow(_anchors(window), _ANCHORS)
+    anchors = texts.mapInArrow(trimmed(_anchors(window)), _ANCHORS)
     sort = Window.partitionBy("kg").orderBy("ctx", "doc", "start")
     whole = sort.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = anchors.select(
@@ -230,11 +230,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     open_runs = digits.filter("not repeat").groupBy("doc").agg(F.collect_list("run").alias("runs"))
     keyed = texts.withColumn("doc", F.coalesce("doc", F.lit(NULL_ID)))
-    windows = keyed.join(open_runs, "doc").select("doc", "text", "runs").mapInArrow(_windows(window), _WINDOWS)
+    windows = keyed.join(open_runs, "doc").select("doc", "text", "runs").mapInArrow(trimmed(_windows(window)), _WINDOWS)
     sort = Window.partitionBy("h1", "h2").orderBy("doc", "start")
     later = windows.select("doc", "start", "dup", F.first(F.struct("doc", "start")).over(sort).alias("f")).filter("dup or f.doc <> doc or f.start <> start")
     marks = materialize(digits.filter("repeat").select("doc", "run").union(later.select("doc", F.shiftleft(F.col("start").cast("long"), 16) + 1)), "repeats-2")
 
     cut = keyed.join(marks.groupBy("doc").agg(F.collect_list("run").alias("runs")), "doc", "left").select("doc", "text", "runs")
-    out = cut.mapInArrow(_cut(window), "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
+    out = cut.mapInArrow(trimmed(_cut(window)), "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NULL_ID)))

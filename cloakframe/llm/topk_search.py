@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import materialize, trimmed
 
 #: Vectors of a candidate block, and queries of a query block.
 BLOCK, QUERIES = 4096, 512
@@ -147,7 +147,7 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     x = F.when(F.size("x") == d, F.col("x")).otherwise(F.concat("x", F.array_repeat(F.lit(0.0), F.lit(d) - F.size("x"))))
     rows = rows.select("id", x.alias("x"), "is_query").withColumn("norm", F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)))
 
-    cells = rows.select("x").mapInArrow(_gram, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()  # d * d numbers
+    cells = rows.select("x").mapInArrow(trimmed(_gram), "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()  # d * d numbers
     gram = np.zeros(d * d)
     for r in cells:
         gram[r["cell"]] = r["v"]
