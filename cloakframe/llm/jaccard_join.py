@@ -115,6 +115,9 @@ def _spread(size: int, buckets: int) -> Callable:
     """The shingles of a batch by range: 5 bytes of hash each, and the text (65535: of several texts of the batch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 32
         for whole in batches:
             for batch in (whole.slice(a, 60_000) for a in range(0, whole.num_rows, 60_000)):
                 sets = list(shingle_sets(batch.column(1), size))
@@ -131,6 +134,7 @@ def _spread(size: int, buckets: int) -> Callable:
                 edge = np.searchsorted(token >> np.uint64(32), (np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets))
                 edge[-1] = len(token)
                 out = []
+                number += 1
                 for k in range(buckets):
                     t, d = token[edge[k] : edge[k + 1]], doc[edge[k] : edge[k + 1]]
                     if len(t):
@@ -138,14 +142,14 @@ def _spread(size: int, buckets: int) -> Callable:
                         named = np.append(ids, 0)[np.where(used == 65535, len(ids), used)]
                         low = (t & np.uint64((1 << 40) - 1)).view(np.uint8).reshape(-1, 8)[:, :5]
                         at = np.where(d == 65535, 65535, at).astype(np.uint16)
-                        out.append((k, np.ascontiguousarray(low).tobytes(), at.tobytes(), named.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["bucket", "hashes", "texts", "docs"])
+                        out.append((k, number, np.ascontiguousarray(low).tobytes(), at.tobytes(), named.tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["bucket", "batch", "hashes", "texts", "docs"])
 
     return run
 
 
 def _alone(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of each document the number of its shingles in this range that no other has."""
+    """Of each batch and its documents the number of their shingles in this range that no other has, packed: one row a batch."""
     token = np.zeros((sum(map(len, pdf["hashes"])) // 5, 8), np.uint8)
     token[:, :5] = np.frombuffer(b"".join(pdf["hashes"]), np.uint8).reshape(-1, 5)
     token = token.view(np.uint64).ravel()
@@ -154,13 +158,20 @@ def _alone(pdf: pd.DataFrame) -> pd.DataFrame:
     alone = np.ones(len(token), bool)
     alone[order[1:][same]] = alone[order[:-1][same]] = False
     out, at = [], 0
-    for texts, docs in zip(pdf["texts"], pdf["docs"], strict=True):
+    for batch, texts, docs in zip(pdf["batch"], pdf["texts"], pdf["docs"], strict=True):
         text, doc = np.frombuffer(texts, np.uint16), np.frombuffer(docs, np.int64)
         own = text[alone[at : at + len(text)] & (text != 65535)]
         at += len(text)
         n = np.bincount(own, minlength=len(doc))[: len(doc)]
-        out.append(pd.DataFrame({"doc": doc[n > 0], "alone": n[n > 0]}))
-    return pd.concat(out) if out else pd.DataFrame({"doc": [], "alone": []}, dtype="int64")
+        out.append((batch, doc[n > 0].tobytes(), n[n > 0].astype(np.int32).tobytes()))
+    return pd.DataFrame(out, columns=["batch", "docs", "counts"])
+
+
+def _alone_in_all(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The counts of one batch's documents over all ranges."""
+    doc, at = np.unique(np.frombuffer(b"".join(pdf["docs"]), np.int64), return_inverse=True)
+    n = np.bincount(at, np.frombuffer(b"".join(pdf["counts"]), np.int32), len(doc)).astype(np.int64)
+    return pd.DataFrame({"doc": doc, "alone": n})
 
 
 class Keys:
@@ -334,8 +345,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if threshold < RARE_BELOW:
         shingles = sizes.agg(F.sum("n")).first()[0] or 0
         buckets = max(1, -(-shingles // RANGE))
-        alone = partners.mapInArrow(trimmed(_spread(shingle, buckets)), "bucket int, hashes binary, texts binary, docs binary").groupBy("bucket").applyInPandas(_alone, "doc long, alone long")
-        alone = alone.groupBy("doc").agg(F.sum("alone").alias("alone"))
+        alone = partners.mapInArrow(trimmed(_spread(shingle, buckets)), "bucket int, batch long, hashes binary, texts binary, docs binary").groupBy("bucket").applyInPandas(_alone, "batch long, docs binary, counts binary")
+        alone = alone.groupBy("batch").applyInPandas(_alone_in_all, "doc long, alone long").groupBy("doc").agg(F.max("alone").alias("alone"))
         left = classes.join(alone, "doc", "left").filter(F.coalesce("alone", F.lit(0)) * 100 <= (100 - threshold) * F.col("n")).select(F.col("doc").alias("doc_id"))
         partners = partners.join(small(materialize(left, "partners")), "doc_id")
     keys = Keys(threshold, light_boundary(counted, threshold), frequent_shingles(texts, shingle))
