@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
-SERIES = Window.partitionBy("entity_id").orderBy("bar_idx")
 #: The labels of the buckets.
 FIVE = ("VERY_LOW", "LOW", "MEDIUM", "HIGH", "VERY_HIGH")
 
 
-def frame(first: int, last: int, w: WindowSpec = SERIES) -> WindowSpec:
-    return w.rowsBetween(first, last)
+def by_series() -> WindowSpec:
+    """The order of a series; made on call, as a window needs a session."""
+    return Window.partitionBy("entity_id").orderBy("bar_idx")
+
+
+def frame(first: int, last: int) -> WindowSpec:
+    return by_series().rowsBetween(first, last)
 
 
 def log_return(price: str = "close") -> Column:
     """ln(p / previous p); 0 if either is not positive; null for the first bar."""
-    before = F.lag(price).over(SERIES)
+    before = F.lag(price).over(by_series())
     return F.when(before.isNull(), F.lit(None).cast("double")).when((before > 0) & (F.col(price) > 0), F.ln(F.col(price) / before)).otherwise(F.lit(0.0))
 
 
@@ -34,7 +38,7 @@ def volume_percentile(rows: int, alone: float) -> Column:
 
 def momentum(price: str, w: int) -> Column:
     """W04."""
-    before = F.lag(price, w).over(SERIES)
+    before = F.lag(price, w).over(by_series())
     return F.coalesce(F.when(before > 0, (F.col(price) - before) / before), F.lit(0.0))
 
 

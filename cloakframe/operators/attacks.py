@@ -25,7 +25,7 @@ def universe_rank(returns: DataFrame, source: int, top_k: int = 10) -> DataFrame
 
 def lagged_correlation(pairs: DataFrame, lags: tuple[int, ...] = (1, 5, 21)) -> DataFrame:
     """Correlation of source[lag:] with masked[:-lag] for each lag; (entity_id, bar_idx, a, b)."""
-    shifted = pairs.select("entity_id", "a", *[F.lag("b", k).over(s.SERIES).alias(f"b{k}") for k in lags])
+    shifted = pairs.select("entity_id", "a", *[F.lag("b", k).over(s.by_series()).alias(f"b{k}") for k in lags])
     out = shifted.groupBy("entity_id").agg(*[F.round(pearson("a", f"b{k}"), 6).alias(f"lag_{k}") for k in lags])
     return out
 

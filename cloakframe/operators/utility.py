@@ -31,7 +31,7 @@ def backtest(trades: DataFrame, lag: int = 1, cost: float = 0.001) -> DataFrame:
     """Metrics of 0/1 actions on period returns, executed `lag` periods later; (entity_id, bar_idx, action, ret).
 
     Returns are added up, not compounded; drawdown is from the best sum so far, 0 at least."""
-    w = s.SERIES
+    w = s.by_series()
     rows = trades.withColumn("act", F.coalesce(F.lag("action", lag).over(w), F.lit(0)))
     rows = rows.withColumn("turn", F.abs(F.col("act") - F.coalesce(F.lag("act").over(w), F.lit(0)))).withColumn("pnl", F.col("act") * F.col("ret") - cost * F.col("turn"))
     rows = rows.withColumn("sum", F.sum("pnl").over(s.frame(Window.unboundedPreceding, 0)))

@@ -57,7 +57,7 @@ def _bucketed(rows: DataFrame, fit: int, values: dict[str, str]) -> DataFrame:
 
 def s3a_daily(bars: DataFrame, fit: int = 252) -> DataFrame:
     """Row i holds the return from bar i to i + 1 and all else as of bar i; one row fewer than bars."""
-    w = s.SERIES
+    w = s.by_series()
     rows = bars.select("entity_id", "bar_idx", "close", "volume", s.log_return().alias("own")).withColumn("ret", F.lead("own").over(w))
     rows = rows.select(
         "*", *[s.momentum("close", k).alias(f"m{k}") for k in (5, 21, 63)], s.volatility("ret", 21, "bar_idx").alias("v21"), s.drawdown().alias("dd"), s.volume_percentile(21, 0.0).alias("vp"),
@@ -76,7 +76,7 @@ def s3a_daily(bars: DataFrame, fit: int = 252) -> DataFrame:
 def s3b_weekly(bars: DataFrame, fit: int = 52) -> DataFrame:
     """Weekly features; the release candidate."""
     weeks = grouped(bars, 5, 3)
-    w = s.SERIES
+    w = s.by_series()
     rows = weeks.select("entity_id", "bar_idx", "open", "close", s.log_return().alias("own"))
     rows = rows.withColumn("ret", F.lead("own").over(w)).withColumn("direction", F.when(F.col("close") > F.col("open") * 1.005, "UP").when(F.col("close") < F.col("open") * 0.995, "DOWN").otherwise("FLAT"))
     last4 = F.collect_list("direction").over(s.frame(-3, 0))

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What a form, an accession number and a year look like in a path.
-FORM, ACCESSION, YEAR = r"(?i)\b(10-K|10-Q|8-K)(?:/A)?\b", r"\b(\d{10}-\d{2}-\d{6})\b", r"\b(199\d|20[0-2]\d|2030)\b"
+FORM, ACCESSION, YEAR = r"(?i)(?<![A-Za-z0-9])(10-K|10-Q|8-K)(?![A-Za-z0-9])", r"(?<!\d)(\d{10}-\d{2}-\d{6})(?!\d)", r"(?<!\d)(199\d|20[0-2]\d|2030)(?!\d)"
 
 
 def read_corpus(spark: SparkSession, folder: str, pattern: str = "*.md") -> DataFrame:
     """(name, text) of the files of a folder."""
-    rows = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(folder)
+    rows = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(folder, wholetext=True)
     return rows.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("name"), F.col("value").alias("text"))
 
 

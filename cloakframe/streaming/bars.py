@@ -14,9 +14,11 @@ def event_stream(spark: SparkSession, folder: str, pattern: str = "events.parque
 
 
 def tumbling_bars(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
-    """Bars of `value` by event type and window; the state of a window goes once the watermark has passed it."""
-    at = F.col("ts").cast("timestamp")
-    w = events.withColumn("at", at).withWatermark("at", late).groupBy(F.window("at", width), "event_type")
+    """Bars of `value` by event type and window; the state of a window goes once the watermark has passed it.
+
+    Rows that already have `at` (from without_repeats) keep its watermark."""
+    timed = events if "at" in events.columns else events.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", late)
+    w = timed.groupBy(F.window("at", width), "event_type")
     out = w.agg(F.min_by("value", F.struct("at", "event_id")).alias("open"), F.max("value").alias("high"), F.min("value").alias("low"), F.max_by("value", F.struct("at", "event_id")).alias("close"), F.count("*").alias("n"))
     return out.select("event_type", F.col("window.start").alias("start"), "open", "high", "low", "close", "n")
 

@@ -99,7 +99,7 @@ def test_files_round_trip(spark, tmp_path):
     assert files.read_corpus(spark, folder).first().text == "# A\nbody"
     assert [r.ticker for r in files.read_tickers(spark, f"{folder}/tickers.csv").collect()] == ["ABC"]
     facts = files.inventory(spark, folder).filter(F.col("path").endswith(".md")).first()
-    assert (facts.length, facts.year) == (8, None) or facts.year == 2024
+    assert (facts.length, facts.form, facts.accession, facts.year) == (8, "10-K", "0001234567-24-000001", 2024)
     assert files.checksums(spark, folder).count() == 2
     files.write_table(spark.range(3), str(tmp_path / "out"), "csv")
     assert spark.read.csv(str(tmp_path / "out"), header=True).count() == 3
