@@ -54,7 +54,9 @@ def x02_s1_basic(spark, sf_dir):
 
 def x03_s2_residual(spark, sf_dir):
     """The pseudo-price as its logarithm against the base: prices themselves run over many magnitudes."""
-    return variants.s2_residual(bars(spark, sf_dir)).select("entity_id", "day_index", F.round(F.ln(F.col("pseudo_close") / 100), 6).alias("log_price"))
+    value = F.round(F.ln(F.col("pseudo_close") / 100), 6)
+    out = variants.s2_residual(bars(spark, sf_dir)).select("entity_id", "day_index", value.alias("log_price"))
+    return out.withColumn("log_price", F.when(F.col("log_price") == 0, F.lit(0.0)).otherwise(F.col("log_price")))  # no negative zero
 
 
 def x04_s3a_daily(spark, sf_dir):
@@ -198,7 +200,7 @@ SQL = {
         l AS (SELECT *, ret - (my - beta * mx + beta * market) AS res FROM b JOIN model USING (entity_id)),
         s AS (SELECT entity_id, stddev_pop(res) AS sd, list_sort(list(res)) AS x FROM l GROUP BY ALL),
         c AS (SELECT entity_id, bar_idx, greatest(x[1 + CAST(floor(len(x) * 0.025) AS BIGINT)], least(x[1 + least(len(x) - 1, CAST(floor(len(x) * 0.975) AS BIGINT))], res)) * (CASE WHEN sd > 0 THEN src / sd ELSE 1.0 END) AS res FROM l JOIN s USING (entity_id))
-        SELECT entity_id, bar_idx AS day_index, round(sum(res) OVER w, 6) AS log_price FROM c """ + W,
+        SELECT entity_id, bar_idx AS day_index, CASE WHEN round(sum(res) OVER w, 6) = 0 THEN CAST(0 AS DOUBLE) ELSE round(sum(res) OVER w, 6) END AS log_price FROM c """ + W,
     "x04_s3a_daily": RETURNS + f"""b AS (SELECT bars.*, r.ret AS own FROM bars JOIN rets r USING (entity_id, bar_idx)), a AS (SELECT *, lead(own) OVER w AS ret, {_momentum(5)} AS m5, {_momentum(21)} AS m21, {_momentum(63)} AS m63, {_DD} AS dd,
             list(volume) OVER (w ROWS BETWEEN 20 PRECEDING AND CURRENT ROW) AS seen, avg(close) OVER (w ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS fast, avg(close) OVER (w ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS slow FROM b {W}),
         v AS (SELECT *, CASE WHEN bar_idx >= 21 THEN stddev_pop(ret) OVER (w ROWS BETWEEN 21 PRECEDING AND 1 PRECEDING) ELSE 0.0 END AS v21, CASE WHEN len(seen) > 1 THEN len(list_filter(seen, lambda x: x < volume)) / len(seen) ELSE 0.0 END AS vp FROM a {W}),
