@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: The labels of the buckets.
 FIVE = ("VERY_LOW", "LOW", "MEDIUM", "HIGH", "VERY_HIGH")
+THREE = ("LOW", "MEDIUM", "HIGH")
 
 
 def by_series() -> WindowSpec:

@@ -18,7 +18,7 @@ def universe_rank(returns: DataFrame, source: int, top_k: int = 10) -> DataFrame
 
     The source's series is joined by place, so each candidate's rows meet one row each."""
     own = returns.filter(F.col("entity_id") == source).select("bar_idx", F.col("ret").alias("src"))
-    score = returns.join(F.broadcast(own), "bar_idx").groupBy("entity_id").agg(F.round(F.abs(pearson("ret", "src")), 6).alias("score"))
+    score = returns.join(own, "bar_idx").groupBy("entity_id").agg(F.round(F.abs(pearson("ret", "src")), 6).alias("score"))
     rank = F.row_number().over(Window.orderBy(F.desc("score"), "entity_id"))
     return score.select("entity_id", "score", rank.alias("rank")).withColumn("blocked", (F.col("entity_id") == source) & (F.col("rank") <= top_k))
 

@@ -92,3 +92,38 @@ def s3b_weekly(bars: DataFrame, fit: int = 52) -> DataFrame:
         F.when(F.col("bar_idx") < 4, "NEUTRAL").when(F.col("fast") > F.col("slow") * 1.01, "ABOVE").when(F.col("fast") < F.col("slow") * 0.99, "BELOW").otherwise("NEUTRAL").alias("moving_average_regime"),
         F.when(F.col("bar_idx") < 4, "SHORT").when(F.col("same") >= 3, "PERSISTENT").when(F.col("same") >= 2, "MODERATE").otherwise("SHORT").alias("trend_persistence_bucket"),
     )
+
+
+def s3c_blocks(bars: DataFrame, fit: int = 13, compat: bool = False) -> DataFrame:
+    """Blocks of 20 bars (10 at least); the other release candidate. Series of fewer than 20 bars have none.
+
+    Everything within a block is one aggregate, so what is held for an entity is one row a block. Momentum is the bucket of
+    the block's own return (0 for the first); with `compat` it is the bucket of 0 in every row, as it is published."""
+    block, series = Window.partitionBy("entity_id", "g").orderBy("bar_idx"), Window.partitionBy("entity_id")
+    rows = bars.select("entity_id", "bar_idx", "close", "volume", F.floor(F.col("bar_idx") / 20).alias("g"), (F.max("bar_idx").over(series) >= 19).alias("whole")).filter("whole")
+    before, peak = F.lag("close").over(block), F.max("close").over(block)
+    rows = rows.select(
+        "*", F.when(before.isNotNull(), F.when((before > 0) & (F.col("close") > 0), F.ln(F.col("close") / before)).otherwise(F.lit(0.0))).alias("move"),
+        F.when(peak > 0, (F.col("close") - peak) / peak).otherwise(F.lit(0.0)).alias("dd"),
+    )
+    rows = rows.withColumn("way", F.signum("move")).withColumn("turned", F.col("way") != F.lag("way").over(block))
+    blocks = rows.groupBy("entity_id", "g").agg(
+        F.max_by("close", "bar_idx").alias("close"), F.avg("volume").alias("volume"), F.coalesce(F.stddev_pop("move"), F.lit(0.0)).alias("vol"), F.min("dd").alias("dd"), F.count("move").alias("moves"), F.count("*").alias("n"),
+        F.count_if(F.col("way") > 0).alias("up"), F.count_if(F.col("way") < 0).alias("down"), (F.count_if("turned") / F.greatest(F.lit(1), F.count("move"))).alias("flips"),
+    ).filter("n >= 10")
+    blocks = blocks.withColumn("bar_idx", (F.row_number().over(Window.partitionBy("entity_id").orderBy("g")) - 1).cast("long"))
+    blocks = blocks.withColumn("ret", s.log_return())
+    blocks = blocks.withColumn("excess", F.coalesce(F.col("ret") - F.avg("ret").over(series), F.lit(0.0))).withColumn("momentum", F.lit(0.0) if compat else F.coalesce("ret", F.lit(0.0)))
+    three = {"volatility_regime": "vol", "volume_regime": "volume", "drawdown_regime": "dd", "market_relative_regime": "excess", "trend_consistency_bucket": "flips"}
+    sorted_of = lambda kept, v: F.sort_array(F.collect_list(F.when(kept, F.col(v))))
+    bounds = blocks.groupBy("entity_id").agg(
+        *[s.edges(sorted_of(F.col("bar_idx") < fit, v), 3).alias(f"_{v}") for v in three.values()],
+        F.transform(s.edges(sorted_of(F.col("bar_idx") <= fit, "ret"), 5), lambda e: F.coalesce(e, F.lit(0.0))).alias("_momentum"),
+    )
+    trend = F.when(F.col("up") > 0.6 * F.col("moves"), "STRONG_UP").when(F.col("down") > 0.6 * F.col("moves"), "STRONG_DOWN")
+    trend = trend.when(F.col("up") > F.col("down"), "MILD_UP").when(F.col("down") > F.col("up"), "MILD_DOWN").otherwise("NEUTRAL")
+    buckets = {name: s.bucket(F.col(v), F.col(f"_{v}"), s.THREE) for name, v in three.items()}
+    return blocks.join(bounds, "entity_id").select(
+        "entity_id", F.col("bar_idx").alias("relative_block"), trend.alias("dominant_trend_regime"), s.bucket(F.col("momentum"), F.col("_momentum")).alias("aggregate_momentum_bucket"), *[c.alias(n) for n, c in buckets.items()],
+        F.lit("MEDIUM").alias("sector_relative_regime"), buckets["trend_consistency_bucket"].alias("reversal_frequency_bucket"),
+    )
