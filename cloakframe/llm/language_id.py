@@ -173,8 +173,8 @@ def _predict(held) -> Callable:
     return run
 
 
-def predict(rows: DataFrame, model: Model | None, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns `keep` with lang_pred, score (0 to 1) and ambiguous.
+def judged(rows: DataFrame, model: Model | None, keep: list[str], text_col: str = "text") -> DataFrame:
+    """(row, told): the columns `keep` as one struct, which no name of theirs can clash with, and (lang_pred, score, ambiguous).
 
     Null text or one without a letter: `und`, 0.0, false. A text of letters without any known n-gram: the codewords decide
     among equals, with score 1 / languages. Without a model every text is `und`. Rows stay as they are, also repeated ones;
@@ -185,5 +185,12 @@ def predict(rows: DataFrame, model: Model | None, keep: list[str], text_col: str
     else:
         held = rows.sparkSession.sparkContext.broadcast(model)  # languages and features are bounded
         told = F.arrow_udf(_predict(held), "lang_pred string, score double, ambiguous boolean")(F.col(text_col).cast("string"), letters)
-    out = rows.select(*keep, told.alias("_told"))
-    return out.select(*keep, "_told.lang_pred", "_told.score", "_told.ambiguous")
+    return rows.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), told.alias("told"))
+
+
+def predict(rows: DataFrame, model: Model | None, keep: list[str], text_col: str = "text") -> DataFrame:
+    """The columns `keep` with lang_pred, score (0 to 1) and ambiguous, as `judged` has them.
+
+    A kept column with the name of a result, in whatever case, gives way to the result."""
+    results = ("lang_pred", "score", "ambiguous")
+    return judged(rows, model, [c for c in keep if c.lower() not in results], text_col).select("row.*", "told.*")

@@ -18,8 +18,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model learns as in op9, from labelled documents that are not held out."""
     rows = docs.withColumn("_held", F.coalesce(held_out(), F.lit(False)))
     model = language_id.train(rows.filter("doc_id is not null and not _held"))
-    told = language_id.predict(docs, model, docs.columns)
-    return told.filter((F.col("lang_pred") != language_id.UNKNOWN) & ~F.col("ambiguous")).select(*docs.columns)
+    judged = language_id.judged(docs, model, docs.columns)
+    return judged.filter((F.col("told.lang_pred") != language_id.UNKNOWN) & ~F.col("told.ambiguous")).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -282,6 +282,18 @@ def test_licenses(spark):
     assert scan(spark.createDataFrame([], "doc_id long, path string, text string")).count() == 0
 
 
+def test_language_results_do_not_clash(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = ("lang_pred", "Score", "ambiguous", "row", "told", "_told", "_held")
+    wide = docs.withColumns({c: F.lit("x") for c in extra})
+    out = corpus_pipeline.language(spark, wide, SF)
+    assert out.columns == wide.columns and out.select(*docs.columns).exceptAll(corpus_pipeline.language(spark, docs, SF)).count() == 0
+    assert {r[0] for r in out.select(F.concat(*extra)).distinct().collect()} == {"x" * len(extra)}
+    assert predict(wide, train(docs), ["doc_id", "lang_pred", "Score"]).columns == ["doc_id", "lang_pred", "score", "ambiguous"]
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
