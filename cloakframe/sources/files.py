@@ -56,3 +56,28 @@ def columnar_rows(df: DataFrame, arrays: list[str]) -> DataFrame:
     """Parallel arrays as rows; what is missing becomes an empty string."""
     zipped = df.select(F.inline(F.arrays_zip(*arrays)))
     return zipped.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c.split(".")[-1]) for c in zipped.columns])
+
+
+def read_universe(spark: SparkSession, path: str) -> DataFrame:
+    """(candidate_id, bar_idx, ret, price) of candidate universes; `adjusted_returns` where there are no `returns`, returns as prices where there are none."""
+    kind = "universe_id string, candidates array<struct<candidate_id:string,id:string,returns:array<double>,adjusted_returns:array<double>,prices:array<double>>>"
+    rows = spark.read.schema(kind).json(path, multiLine=True).select(F.inline("candidates"))
+    rets = F.coalesce("returns", "adjusted_returns", F.array().cast("array<double>"))
+    rows = rows.select(F.coalesce("candidate_id", "id").alias("candidate_id"), F.posexplode(F.arrays_zip(rets.alias("ret"), F.coalesce("prices", rets).alias("price"))).alias("bar_idx", "x"))
+    return rows.select("candidate_id", F.col("bar_idx").cast("long").alias("bar_idx"), "x.ret", "x.price")
+
+
+def reference_returns(bars: DataFrame, reference: DataFrame) -> DataFrame:
+    """Each bar with the reference's return (bar_idx, ret) at its place, 0 where that is too short; a longer one is cut."""
+    return bars.join(reference.select("bar_idx", F.col("ret").alias("reference")), "bar_idx", "left").withColumn("reference", F.coalesce("reference", F.lit(0.0)))
+
+
+def collected(files: DataFrame, forms: tuple[str, ...] = (), years: tuple[int, ...] = ()) -> DataFrame:
+    """Of an inventory, the first path of each hash, then the first path of each accession; files without one all stay.
+
+    Each pass is an aggregate, combined before its shuffle, so many copies of a file cost one row a task."""
+    for name, wanted in (("form", forms), ("year", years)):
+        files = files.filter(F.col(name).isin(*wanted)) if wanted else files
+    columns = files.columns
+    first = lambda df, key: df.groupBy(key.alias("_key")).agg(F.min_by(F.struct(*[F.col(c) for c in columns]), "path").alias("r")).select("r.*")
+    return first(first(files, F.col("sha256")), F.coalesce("accession", F.concat(F.lit("path:"), F.col("path"))))
