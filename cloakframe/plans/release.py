@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import markup
-from ..operators import discovery, quality, sequences, validation, variants
+from ..operators import discovery, masking, quality, sequences, validation, variants
 from ..sources.bars import bars, grouped, table
 from .documents import docs
 from .series import BARS, LONG, SOURCE, W, features
 
 #: Fixed values of the queries: words that are no names.
 SAFE = ("The", "In", "This", "We", "And")
+REGISTRY = [
+    masking.Alias("a1", "MIT License", "[LICENSE 01]", 30), masking.Alias("a2", "License", "[LICENSE 02]", 10, mutations=("possessive",)), masking.Alias("a3", "apache", "[ORG 01]", 20, "case_insensitive", "company"),
+    masking.Alias("a4", "example.com", "[DOMAIN 01]", 40, "domain_full"), masking.Alias("a5", "example.com", "[MAIL 01]", 60, "domain_email"),
+]
 
 
 def x06_s3c_blocks(spark, sf_dir):
@@ -80,6 +84,12 @@ def d01_discovery(spark, sf_dir):
     return found.groupBy("doc_id", "kind").agg(F.count("*").alias("n"), F.sum(F.length("found")).alias("chars"))
 
 
+def t07_registry_masking(spark, sf_dir):
+    """Documents masked by a registry: what each form of an alias took, and the hash of what is left."""
+    out = masking.mask_documents(docs(spark, sf_dir), REGISTRY)
+    return out.select("doc_id", F.sha2("masked", 256).alias("sha"), F.size("spans").alias("accepted"), "rejected", F.array_join(F.array_sort(F.array_distinct(F.transform("spans", lambda s: F.concat_ws("/", s["alias_id"], s["form"])))), ",").alias("forms"))
+
+
 def g22_recognition(spark, sf_dir):
     """E-mail addresses and links as expected, against the same with links cut by a character."""
     found = discovery.discovered(docs(spark, sf_dir), SAFE).filter("kind in ('email', 'url')").select("doc_id", "start", "end", "kind")
@@ -199,4 +209,4 @@ SQL = {
         x AS (SELECT v * CASE WHEN s = 'k' THEN 1e3 WHEN s IN ('m', 'million') THEN 1e6 WHEN s IN ('b', 'billion') THEN 1e9 ELSE 1.0 END AS v FROM p) SELECT least(99, CAST(floor(log10(v)) AS INTEGER)) AS decade, count(*) AS n, max(v) AS largest FROM x WHERE v >= 1 GROUP BY ALL""",
     "t30_cased_phrases": "WITH w AS (SELECT item_id, regexp_extract_all(text, '[\\p{L}\\p{N}_]+') AS t FROM benchmark), n AS (SELECT item_id, t, unnest(range(3, 8)) AS k FROM w), g AS (SELECT item_id, unnest(list_transform(range(1, len(t) - k + 2), lambda i: t[i:i + k - 1])) AS r FROM n WHERE len(t) >= k), c AS (SELECT item_id, lower(array_to_string(r, ' ')) AS phrase FROM g WHERE len(list_filter(r, lambda x: regexp_matches(x, '^\\p{Lu}'))) > 0) SELECT phrase, count(DISTINCT item_id) AS items, count(*) AS n FROM c GROUP BY ALL",
 }
-QUERIES = {f.__name__: f for f in (x06_s3c_blocks, a01_warped_distance, a05_transition_similarity, x10_attack_suite, x10_block_attack_suite, g12_feature_utility, p06_feature_faults, p08_universe_faults, p09_submission_faults, x24_review_state, d01_discovery, g22_recognition, p17_rejection, t31_summary, t19_event_types, m05_numbers, m06_risk, t30_cased_phrases, t21_markdown, t23_item_sections, t28_paragraph_chunks)}
+QUERIES = {f.__name__: f for f in (x06_s3c_blocks, a01_warped_distance, a05_transition_similarity, x10_attack_suite, x10_block_attack_suite, g12_feature_utility, p06_feature_faults, p08_universe_faults, p09_submission_faults, x24_review_state, d01_discovery, t07_registry_masking, g22_recognition, p17_rejection, t31_summary, t19_event_types, m05_numbers, m06_risk, t30_cased_phrases, t21_markdown, t23_item_sections, t28_paragraph_chunks)}
