@@ -193,7 +193,7 @@ SQL = {
         df AS (SELECT entity_id, feature, a, b, sum(p) - sum(q) AS d FROM al GROUP BY ALL), nm AS (SELECT entity_id, feature, sum(d * d) AS f FROM df GROUP BY ALL),
         st AS (SELECT DISTINCT entity_id, feature, state FROM feats), so AS (SELECT feature, state FROM st WHERE entity_id = 1),
         un AS (SELECT entity_id, feature, count(*) AS n, count(*) FILTER (WHERE k = 2) AS shared FROM (SELECT entity_id, feature, state, count(*) AS k FROM (SELECT * FROM st UNION ALL SELECT ks.entity_id, feature, state FROM ks JOIN so USING (feature)) GROUP BY ALL) GROUP BY ALL)
-        SELECT entity_id, feature, round(1 - least(1.0, f / n), 6) AS similarity, round(shared / n, 6) AS jaccard FROM nm JOIN un USING (entity_id, feature)""",
+        SELECT entity_id, feature, round(1 - least(1.0, f / n), 6) AS similarity, round(shared / n, 6) AS jaccard FROM nm JOIN un USING (entity_id, feature) WHERE feature IN (SELECT feature FROM so)""",
     "p06_feature_faults": BARS + f"c AS (SELECT entity_id, bar_idx AS period, round(close * (CASE WHEN first(close) OVER w > 0 THEN 100.0 / first(close) OVER w ELSE 1.0 END), 6) AS v FROM bars {W}) SELECT entity_id, period, 'continuous value' AS fault, 'close_rebased' AS detail FROM c WHERE v > 1e10 OR v <> floor(v) UNION ALL SELECT NULL, NULL, 'forbidden name', 'close_rebased'",
     "p08_universe_faults": BARS + "x AS (SELECT 1) SELECT entity_id, 'too few observations' AS fault FROM bars GROUP BY entity_id HAVING count(*) < 2000 UNION ALL SELECT entity_id, 'negative price' FROM bars GROUP BY entity_id HAVING min(close) < 0",
     "p09_submission_faults": """WITH r AS (SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS d, lag(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS before, o_orderstatus AS s FROM orders), f AS (SELECT id, count(*) AS n, count(*) FILTER (WHERE s NOT IN ('F', 'O')) AS odd, count(*) FILTER (WHERE d <= before) AS late FROM r GROUP BY id),
