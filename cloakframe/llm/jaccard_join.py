@@ -15,8 +15,8 @@ Below a threshold of RARE_BELOW sets have so many blocks that those without a pa
 shingles of its own alone than it may lack has none. Shingles are counted by range, packed, over all texts.
 
 The boundary is where the keys of both kinds, counted over the sizes in the table, cost least. Sets that share a key form
-candidate components; every set of these travels once to its component, and exact intersections there find the links: a set
-that a leader links needs no comparison with the leader's other sets, so copies are not expanded into pairs. Components of
+candidate components; every set of these travels once to its component, and exact intersections there find the links: sets
+that links connect already are not compared with each other, so copies are not expanded into pairs. Components of
 more than GROUP sets are compared block by block, so no task holds more than two blocks of about GROUP sets."""
 
 from __future__ import annotations
@@ -280,7 +280,9 @@ def _sets(size: int) -> Callable:
 
 
 def _links(threshold: int) -> Callable:
-    """Of one group: links that connect its sets as all links do, by leaders."""
+    """Of one group: links that connect its sets as all links do.
+
+    Every set leads, against the later sets of other components: a pair is only left out when it is connected already."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("doc").sort_values("doc")
@@ -298,15 +300,20 @@ def _links(threshold: int) -> Callable:
         by_owner = np.searchsorted(owner[prefix], np.arange(len(sets) + 1))
         listed = np.argsort(token[prefix], kind="stable")
         lists, members = token[prefix][listed], owner[prefix][listed]
+        starts = np.flatnonzero(np.concatenate(([True], lists[1:] != lists[:-1]))) if len(lists) else np.zeros(0, np.int64)
+        ends, nth_list = np.append(starts[1:], len(lists)), np.searchsorted(lists[starts], token[prefix])
         root = np.arange(len(sets))  # the group's component so far, by its smallest member
-        free = np.ones(len(sets), bool)  # not yet linked by a leader, so still to lead
+        mixed, merged = np.ones(len(starts), bool), 0  # lists of more than one component, as of the last look; merges since
         out = []
         for i in range(len(sets)):
-            if not free[i]:
-                continue
-            own = token[prefix[by_owner[i] : by_owner[i + 1]]]
-            lo, hi = np.searchsorted(lists, own), np.searchsorted(lists, own, "right")
-            rows = np.unique(np.concatenate([members[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)])) if len(own) else members[:0]
+            if merged * 16 > len(sets):
+                mixed, merged = np.minimum.reduceat(root[members], starts) != np.maximum.reduceat(root[members], starts), 0
+            own = nth_list[by_owner[i] : by_owner[i + 1]]
+            own = own[mixed[own]]
+            near = np.zeros(len(sets), bool)
+            for a, b in zip(starts[own].tolist(), ends[own].tolist(), strict=True):
+                near[members[a:b]] = True
+            rows = np.flatnonzero(near[i + 1 :]) + i + 1
             rows = rows[(size[rows] * threshold <= size[i] * 100) & (size[i] * threshold <= size[rows] * 100) & (root[rows] != root[i])]
             if not len(rows):
                 continue
@@ -316,10 +323,10 @@ def _links(threshold: int) -> Callable:
             else:
                 both = np.array([np.count_nonzero(sets[i][np.minimum(np.searchsorted(sets[i], sets[r]), size[i] - 1)] == sets[r]) for r in rows])
             linked = rows[100 * both >= threshold * (size[rows] + size[i] - both)]
-            free[linked] = False
             for r in linked:
                 if root[r] != root[i]:
                     out.append((doc[i], doc[r]))
+                    merged += 1
                     a, b = min(root[r], root[i]), max(root[r], root[i])
                     root[root == b] = a
             if (root == root[0]).all():

@@ -80,6 +80,23 @@ def test_jaccard_equals_brute_force(spark, size, threshold):
     assert got == brute_jaccard(texts, size, threshold)
 
 
+@pytest.mark.parametrize(("size", "threshold", "step"), [(3, 90, 5), (5, 80, 10)])
+def test_jaccard_drifting_chains(spark, size, threshold, step):
+    """Copies of which only neighbours link: no id order may break a chain."""
+    rng = np.random.default_rng(size)
+    texts = []
+    for chain in range(12):
+        texts += [" ".join(f"c{chain}w{k}" for k in range(step * i, step * i + 99 + size)) for i in range(3 + chain % 6)]
+    order = rng.permutation(len(texts))
+    texts = [texts[i] for i in order]
+    linked = [f"z{k}" for k in range(200)]
+    texts += [" ".join(linked[a : a + 99 + size]) for a in (0, 3 * step, step, 2 * step)]  # A, D, B, C
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(frame(spark, texts), shingle=size, threshold=threshold).collect()}
+    assert got == brute_jaccard(texts, size, threshold)
+    n = len(texts)
+    assert {got[i][1] for i in range(n - 4, n)} == {n - 4}
+
+
 def test_jaccard_keys_meet():
     """Any two sets at the threshold share a key, whatever their sizes."""
     rng = np.random.default_rng(3)
