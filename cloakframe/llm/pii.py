@@ -86,12 +86,59 @@ def luhn(digits: str) -> int:
     return -total % 10
 
 
-def _card(text: str, key: bytes, back: bool) -> str | None:
-    d = _only(text)
-    if not 13 <= len(d) <= 19 or luhn(d[:-1]) != int(d[-1]) or len(set(d)) == 1:
-        return None
-    body = _digits(d[:-1], key, b"card", back)
-    return _put(text, body + str(luhn(body)))
+def _is_card(d: str) -> bool:
+    return len(set(d)) > 1 and luhn(d[:-1]) == int(d[-1])
+
+
+#: Lengths of the groups that card numbers are mostly written in.
+_GROUPS = re.compile(r"1[3-9]|4 4 4 [1-7]|4 6 [45]|4 4 4 4 [1-3]|8 8")
+
+
+@lru_cache(10_000)
+def _cards(run: str, key: bytes, back: bool) -> list[tuple[int, int, str]]:
+    """(start, end, pseudonym) of the card numbers in a run of digits over single separators.
+
+    Every sequence of whole groups with 13 to 19 digits that passes Luhn's check may be one, if only its last group has fewer
+    than three digits (dates, other numbers and tables have shorter ones, and one in ten passes by chance): the whole run comes first, then
+    those in _GROUPS, then the earliest, then the longest. A pseudonym by which another sequence would come before is walked over (only possible
+    beside further digits), so the same places are found in the new text and it can be undone."""
+    spans = [m.span() for m in re.finditer(r"\d+", run)]
+    flat, edges = _only(run), [0]
+    for a, b in spans:
+        edges.append(edges[-1] + b - a)
+    shapes = []
+    for i in range(len(spans)):
+        for j in range(i + 1, len(edges)):
+            n = edges[j] - edges[i]
+            if n > 19:
+                break
+            if n >= 13 and all(b - a > 2 for a, b in spans[i : j - 1]):
+                grouped = _GROUPS.fullmatch(" ".join(str(b - a) for a, b in spans[i:j]))
+                shapes.append((0 if n == len(flat) else 1 if grouped else 2, edges[i], -n, i, j))
+    shapes.sort()
+    at: dict[int, list[int]] = {}
+    for k, shape in enumerate(shapes):
+        at.setdefault(shape[1], []).append(k)
+    owner = [len(shapes)] * len(flat)  # of each digit the shape that has it
+    chosen = []
+    for k, (_, a, n, _, _) in enumerate(shapes):
+        if min(owner[a : a - n]) == len(shapes) and _is_card(flat[a : a - n]):
+            owner[a : a - n] = [k] * -n
+            chosen.append(k)
+    out = []
+    for k in reversed(chosen) if back else chosen:
+        _, a, n, i, j = shapes[k]
+        rivals = [shapes[c] for x in range(a - 18, a - n) for c in at.get(x, ()) if c < k and x - shapes[c][2] > a and min(owner[x : x - shapes[c][2]]) >= c]
+        body = flat[a : a - n - 1]
+        while True:
+            body = _digits(body, key, b"card", back)
+            new = flat[:a] + body + str(luhn(body)) + flat[a - n :]
+            if _is_card(new[a : a - n]) and not any(_is_card(new[x : x - m]) for _, x, m, _, _ in rivals):
+                break
+        flat = new
+        start, end = spans[i][0], spans[j - 1][1]
+        out.append((start, end, _put(run[start:end], flat[a : a - n])))
+    return out
 
 
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -101,6 +148,38 @@ def _mod97(country: str, check: str, rest: str) -> int:
     return int("".join(str(int(c, 36)) for c in rest + country + check)) % 97
 
 
+#: The lengths of IBANs by country.
+_IBAN_LENGTHS = {
+    c: int(n)
+    for n, countries in (x.split(":") for x in (
+        "15:NO;16:BE;18:DK FI FK FO GL NL SD;19:MK SI;20:AT BA EE KZ LT LU MN XK;21:CH HR LI LV;22:BG BH CR DE GB GE IE ME RS VA;23:AE GI IL IQ OM SO TL;24:AD CZ DZ ES MD PK RO SA SE SK TN VG;"
+        "25:LY PT ST;26:IS TR;27:BF BI BJ CF CG CI CM CV DJ FR GA GQ GR IT KM MC MG ML MR MZ NE SM SN TD TG YE;28:AL AO AZ BY CY DO GT HN HU LB NI PL SV;29:BR EG PS QA UA;30:JO KW MU;31:MT SC;32:LC;33:RU"
+    ).split(";"))
+    for c in countries.split()
+}
+
+
+def _iban_end(text: str) -> int | None:
+    """The end of the part of text that has its country's length, if it ends with a word there."""
+    left = _IBAN_LENGTHS.get(text[:2], 0)
+    for k, c in enumerate(text):
+        left -= c != " "
+        if left == 0:
+            return k + 1 if text[k + 1 : k + 2] in ("", " ") else None
+    return None
+
+
+def _iban_value(text: str, m: re.Match) -> str:
+    """What of a match to take: the part of its country's length if that is valid; else all, unless such a one starts in it."""
+    start: re.Match | None = m
+    while start and start.start() < m.end():
+        end = _iban_end(start.group())
+        if end and _iban(start.group()[:end], b"", False):
+            return start.group()[:end] if start is m else ""
+        start = _FOUND["iban"].search(text, start.start() + 1)
+    return m.group()
+
+
 def _iban(text: str, key: bytes, back: bool) -> str | None:
     flat = text.replace(" ", "")
     country, check, rest = flat[:2], flat[2:4], flat[4:]
@@ -200,29 +279,41 @@ KINDS: tuple[tuple[str, str, Callable[[str, bytes, bool], str | None]], ...] = (
     ("secret", r"\b(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})\b", _secret),
     ("ipv4", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)", _ipv4),
     ("date", r"(?<![\d/.-])(?:\d{4}([-/.])\d\d\1\d\d|\d\d([-/.])\d\d\2\d{4})(?![\d]|[/.-]\d)", _date),
-    ("card", r"(?<![\d.-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{4,5})(?![\d]|[.-]\d)", _card),
     ("ssn", r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d]|-\d)", _ssn),
     ("phone", r"(?<![\d.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d]|[.-]\d)|(?<![\d.+-])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\d]|[.-]\d)", _phone),
 )
+#: Where cards may be, between the other values.
+_RUN = re.compile(r"(?<![\d.-])\d(?:[ -]?\d){12,}(?![\d]|[.-]\d)")
 _FOUND = {name: re.compile(pattern) for name, pattern, _ in KINDS}
 _RULE = {name: rule for name, _, rule in KINDS}
 _HINT = re.compile(r"\d[\d .()/-]{5,}\d|@|[0-9a-fA-F]{32}|[A-Z]{2}\d\d")
 
 
 def replacements(text: str, key: bytes, back: bool = False) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, pseudonym), without overlap: the earliest first, then by KINDS; an invalid value doesn't block."""
+    """(start, end, kind, pseudonym), without overlap: the earliest first, then by KINDS; an invalid value doesn't block.
+
+    Card numbers are looked for in what is between the other values."""
     if not _HINT.search(text):
         return []
     found = []
     for order, (name, _, rule) in enumerate(KINDS):
-        for m in _FOUND[name].finditer(text):
-            new = _known(name, m.group(), key, back)
+        m = _FOUND[name].search(text)
+        while m:
+            value = m.group()
+            if name == "iban":
+                value = _iban_value(text, m)
+            new = _known(name, value, key, back)
             if new is not None:
-                found.append((m.start(), order, m.end(), name, new))
+                found.append((m.start(), order, m.start() + len(value), name, new))
+            # what fails may hide another that starts in it
+            m = _FOUND[name].search(text, m.start() + (len(value) if new is not None or name != "iban" else 1))
     out, at = [], 0
-    for start, _, end, name, new in sorted(found):
+    for start, _, end, name, new in [*sorted(found), (len(text), 0, len(text), "", "")]:
         if start >= at:
-            out.append((start, end, name, new))
+            for m in _RUN.finditer(text, at, start):
+                out += [(m.start() + a, m.start() + b, "card", card) for a, b, card in sorted(_cards(m.group(), key, back))]
+            if name:
+                out.append((start, end, name, new))
             at = end
     return out
 

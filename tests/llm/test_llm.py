@@ -271,6 +271,34 @@ def test_pii_round_trip_and_links():
     assert sorted(pii.permute(i, 50, key, b"t") for i in range(50)) == list(range(50))
 
 
+def swapped(text, back=False):
+    found, out, at = pii.replacements(text, b"k", back), "", 0
+    for s, e, _, new in found:
+        out, at = out + text[at:s] + new, e
+    return [(text[s:e], k) for s, e, k, _ in found], out + text[at:]
+
+
+def test_pii_beside_other_words():
+    """A valid value is found whatever digits or capitals stand beside it, and comes back."""
+    for iban in ("ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "AT611904300234573201", "BE68 5390 0754 7034", "NO93 8601 1117 947", "PL61 1090 1014 0000 0712 1981 2874"):
+        for text in (f"{iban} BIC ABCD", f"{iban} 2024", f"pay {iban} NOW.", f"CD12 3456 7890 {iban}", f"{iban}"):
+            found, out = swapped(text)
+            assert (iban, "iban") in found and iban not in out and swapped(out, True)[1] == text
+    rng = np.random.default_rng(6)
+    groupings = ([16], [4, 4, 4, 4], [4, 4, 4, 4, 3], [8, 8], [4, 6, 5], [6, 13], [4, 4, 5], [3, 7, 7])
+    for n, groups in enumerate(groupings * 12):
+        d = "".join(map(str, rng.integers(0, 10, sum(groups) - 1)))
+        d += str(pii.luhn(d))
+        card, at = "", 0
+        for g in groups:
+            card, at = card + (rng.choice([" ", "-"]) if card else "") + d[at : at + g], at + g
+        assert swapped(f"card {card}.")[0] == [(card, "card")]
+        text = (f"{card} 12/30", f"no {card} 2024-02-29 x", f"{card} 123", f"7 {card} 20 30 {card}")[n % 4]
+        found, out = swapped(text)
+        assert found and card not in out and swapped(out, True)[1] == text, text
+    assert swapped("1 2 3 " * 3)[0] == [] and len(swapped("4111111111111111 5500000000000004 378282246310005")[0]) == 3
+
+
 def test_pii_frame(spark):
     out = pii.pseudonymise(frame(spark, [None, "", "ip 10.20.30.40"]), b"k").orderBy("doc_id").collect()
     assert out[0].text is None and out[1].text == "" and out[2].text != "ip 10.20.30.40" and [len(r.spans) for r in out] == [0, 0, 1]
