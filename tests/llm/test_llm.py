@@ -327,6 +327,26 @@ def test_licenses(spark):
     assert scan(spark.createDataFrame([], "doc_id long, path string, text string")).count() == 0
 
 
+def test_license_texts_and_headers(spark):
+    """Real licence files, wrapped standard headers and tags."""
+    texts = "/usr/share/common-licenses"
+    try:
+        full = {k: open(f"{texts}/{n}").read() for n, k in (("Apache-2.0", "Apache-2.0"), ("GPL-2", "GPL-2.0"), ("GPL-3", "GPL-3.0"), ("MPL-2.0", "MPL-2.0"), ("BSD", "BSD-3-Clause"), ("LGPL-3", "LGPL-3.0"))}
+    except FileNotFoundError:
+        pytest.skip("no licence files here")
+    mit = """MIT License\n\nCopyright (c) 2020 Some Body <some@example.com>\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.\n"""
+    full["MIT"] = mit
+    code = "\n".join(f"def step_{i}(value, other):\n    return value * {i} + other" for i in range(40))
+    apache = '# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\n#\n#     http://www.apache.org/licenses/LICENSE-2.0\n#\n'
+    gpl = "/*\n * Copyright (C) 2020\n *\n * This program is free software; you can redistribute it and/or\n * modify it under the terms of the GNU General Public License as\n * published by the Free Software Foundation; either version 2 of\n * the License, or (at your option) any later version.\n */\n"
+    rows = [(i, f"d{i}/LICENSE", x) for i, x in enumerate(full.values())] + [(100 + i, f"d{i}/src/a.py", code) for i in range(len(full))]
+    rows += [(200, "x/a", apache + code), (201, "x/b", gpl + code), (202, "x/c", "// SPDX-License-Identifier: MIT OR Apache-2.0\n" + code), (203, "x/d", "".join(f"// {x}\n" for x in mit.split("\n")) + code), (204, "x/e", "a paper on copyright and licence law\n" + code)]
+    out = {r.doc_id: (r.license, r.via) for r in scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    for i, name in enumerate(full):
+        assert out[i] == (name, "header") and out[100 + i] == (name, "inherited"), (name, out[i], out[100 + i])
+    assert [out[i] for i in range(200, 205)] == [("Apache-2.0", "header"), ("GPL-2.0", "header"), ("MIT OR Apache-2.0", "header"), ("MIT", "header"), (None, None)]
+
+
 def test_language_results_do_not_clash(spark):
     import corpus_pipeline
 
