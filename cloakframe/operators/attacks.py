@@ -37,6 +37,15 @@ def path_similarity(pairs: DataFrame, window: int = 20) -> DataFrame:
     return rolled.groupBy("entity_id").agg(F.round(pearson("vra", "vrb"), 6).alias("volatility_similarity"), F.round(pearson("da", "db"), 6).alias("drawdown_similarity"))
 
 
+def structured_attacks(pairs: DataFrame) -> DataFrame:
+    """Direct, lagged and path similarities of (entity_id, bar_idx, a, b, ra, rb); blocked if any is over its threshold."""
+    direct = pairs.groupBy("entity_id").agg(F.round(pearson("ra", "rb"), 6).alias("direct"))
+    lagged = lagged_correlation(pairs.select("entity_id", "bar_idx", F.col("ra").alias("a"), F.col("rb").alias("b")))
+    out = direct.join(lagged, "entity_id").join(path_similarity(pairs), "entity_id")
+    late = F.greatest(*[c for c in lagged.columns if c != "entity_id"]) > 0.8
+    return out.withColumn("blocked", (F.col("direct") > 0.9) | late | (F.col("volatility_similarity") > 0.85) | (F.col("drawdown_similarity") > 0.85))
+
+
 #: The ordinals of the labels; any other label counts as 1.
 ORDINALS = {"VERY_LOW": 0, "LOW": 1, "MEDIUM": 2, "HIGH": 3, "VERY_HIGH": 4, "DOWN": 0, "FLAT": 1, "UP": 2, "BELOW": 0, "NEUTRAL": 1, "CROSSED": 1, "ABOVE": 2, "SHORT": 0, "MODERATE": 1, "PERSISTENT": 2}
 

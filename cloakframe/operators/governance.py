@@ -64,11 +64,18 @@ def gate(conditions: DataFrame) -> DataFrame:
     return out.withColumn("decision", F.when((F.col("blocking_failures") > 0) | (F.col("conditions") == 0), "FAIL").when(F.col("warnings") > 0, "REVIEW_REQUIRED").otherwise("PASS"))
 
 
-def privacy_gate(ranked: DataFrame, source: int, least_universe: int = 20, fail_top: int = 10, review_percent: float = 1.0) -> DataFrame:
-    """The source's rank among the candidates; an absent source fails (it is no evidence of safety)."""
-    out = ranked.agg(F.count("*").alias("universe"), F.max(F.when(F.col("entity_id") == source, F.col("rank"))).alias("source_rank"))
+def privacy_gate(ranked: DataFrame, source: int, least_universe: int = 20, fail_top: int = 10, review_percent: float = 1.0, fail_percent: float = 5.0, reconstructed: bool = False, forbidden: tuple[str, ...] = ()) -> DataFrame:
+    """The source's rank among the candidates; an absent source fails (it is no evidence of safety).
+
+    The source fails among the first `fail_top` or `fail_percent` hundredths. Whatever the ranks, a reconstruction that
+    succeeded fails, forbidden fields in the output do, and so does incomplete evidence: ranks that are not 1 to the number
+    of candidates, once each, of different candidates."""
+    whole = (F.count("entity_id") == F.count("*")) & (F.countDistinct("entity_id") == F.count("*")) & (F.countDistinct("rank") == F.count("*")) & (F.min("rank") == 1) & (F.max("rank") == F.count("*"))
+    out = ranked.agg(F.count("*").alias("universe"), F.max(F.when(F.col("entity_id") == source, F.col("rank"))).alias("source_rank"), F.coalesce(whole, F.lit(False)).alias("_whole"))
     percent = F.col("source_rank") * 100.0 / F.col("universe")
-    return out.withColumn("decision", F.when(F.col("source_rank").isNull() | (F.col("universe") < least_universe), "FAIL").when(F.col("source_rank") <= fail_top, "FAIL").when(percent <= review_percent, "REVIEW_REQUIRED").otherwise("PASS"))
+    short = F.lit(reconstructed or bool(forbidden)) | ~F.col("_whole")
+    fails = short | F.col("source_rank").isNull() | (F.col("universe") < least_universe) | (F.col("source_rank") <= fail_top) | (percent <= fail_percent)
+    return out.withColumn("decision", F.when(fails, "FAIL").when(percent <= review_percent, "REVIEW_REQUIRED").otherwise("PASS")).drop("_whole")
 
 
 def period(ts: Column, now: Column) -> Column:

@@ -76,11 +76,7 @@ def x07_universe_rank(spark, sf_dir):
 
 
 def x08_structured_attacks(spark, sf_dir):
-    both = pairs(spark, sf_dir)
-    direct = both.groupBy("entity_id").agg(F.round(attacks.pearson("ra", "rb"), 6).alias("direct"))
-    lagged = attacks.lagged_correlation(both.select("entity_id", "bar_idx", F.col("ra").alias("a"), F.col("rb").alias("b")))
-    out = direct.join(lagged, "entity_id").join(attacks.path_similarity(both), "entity_id")
-    return out.withColumn("blocked", (F.col("direct") > 0.9) | (F.col("volatility_similarity") > 0.85) | (F.col("drawdown_similarity") > 0.85))
+    return attacks.structured_attacks(pairs(spark, sf_dir))
 
 
 def a03_categorical_scores(spark, sf_dir):

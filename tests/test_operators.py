@@ -113,3 +113,30 @@ def test_stream_bars(spark):
     query.awaitTermination(120)
     out = spark.table("bars_out")
     assert out.count() > 0 and out.filter("high < low or high < open or low > close").count() == 0
+
+
+def test_lagged_copies_are_blocked(spark):
+    """A masked series that follows the source a few bars apart is a leak, though all else is unlike."""
+    import random
+
+    from cloakframe.operators import attacks
+
+    draw = random.Random(5)
+    rows = []
+    for entity, lag in enumerate((1, 5, 21, None)):
+        own = [draw.gauss(0, 0.01) for _ in range(300)]
+        other = [draw.gauss(0, 0.01) for _ in range(300)]
+        masked = other if lag is None else own[lag:] + other[:lag]
+        rows += [(entity, i, 100.0 + draw.random(), 100.0 + draw.random(), own[i], masked[i]) for i in range(300)]
+    out = {r.entity_id: r for r in attacks.structured_attacks(spark.createDataFrame(rows, "entity_id long, bar_idx long, a double, b double, ra double, rb double")).collect()}
+    assert [out[k].blocked for k in range(4)] == [True, True, True, False] and all(out[k].direct < 0.5 for k in out)
+
+
+def test_privacy_gate_rules(spark):
+    from cloakframe.operators.governance import privacy_gate
+
+    ranks = spark.range(1, 1001).selectExpr("id AS entity_id", "CAST(id AS INT) AS rank")
+    decide = lambda rows, source, **more: privacy_gate(rows, source, **more).first().decision
+    assert [decide(ranks, k) for k in (10, 30, 50, 51, 1001)] == ["FAIL", "FAIL", "FAIL", "PASS", "FAIL"]
+    assert decide(ranks, 500, reconstructed=True) == decide(ranks, 500, forbidden=("ticker",)) == "FAIL"
+    assert decide(ranks.filter("rank <> 7"), 500) == decide(ranks.union(ranks.filter("rank = 500")), 500) == decide(ranks.limit(0), 500) == "FAIL"
