@@ -1,10 +1,15 @@
 """Vectorised 64-bit hashes of byte ranges, and words of byte buffers.
 
-hash(range) = sum of T[byte] * R**i over the range, divided by R**start (mod 2**64), then mixed with the length. T is a
-fixed pseudo-random table, so a collision of two different ranges needs a zero of a random polynomial."""
+A range is read in chunks of eight bytes (the last one padded), and each chunk goes through a non-linear mixing with the
+state before it, which starts from a key and the range's length. So two different ranges of at most eight bytes never
+collide, and no structure of longer ones (a string and its complement, say) cancels out, as it does for polynomials modulo
+2**64. Where a result depends on one word alone, callers compare the chunks themselves (`packing`)."""
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -20,45 +25,40 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S33)
 
 
-def _table(seed: int) -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(seed)).integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
+#: Ranges of more bytes are hashed one by one.
+LONG = 256
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
 
 
-class RangeHash:
-    """Hashes of many ranges of one buffer at once."""
+def chunks(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number, which ranges have it, its bytes as a little-endian number) of the eight-byte chunks of ranges, in order."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    which, k = np.flatnonzero(end > start), 0
+    while len(which):
+        at = start[which] + 8 * k
+        left = end[which] - at
+        yield k, which, eight[at] & _MASKS[np.minimum(left, 8)]
+        which, k = which[left > 8], k + 1
 
-    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+class RangeHash:
+    """Hashes of many ranges of one buffer at once, under a key."""
 
     def __init__(self, seed: int = 1):
-        self.table = _table(seed)
-        self.base = int(_table(seed + 1000)[0]) | 5
-        self.inverse = pow(self.base, -1, 2**64)
-
-    def _power(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        held = self._powers.get(self.base)
-        if held is None or len(held[0]) <= n:
-            size = max(n + 1, 1 << 16)
-            both = []
-            for r in (self.base, self.inverse):
-                steps = np.full(size, r, np.uint64)
-                steps[0] = 1
-                both.append(np.multiply.accumulate(steps))
-            held = self._powers[self.base] = (both[0], both[1])
-            if size > 1 << 23:  # a very long text: not worth keeping
-                self._powers.pop(self.base)
-        return held
-
-    def prefixes(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        up, down = self._power(len(data))
-        sums = np.empty(len(data) + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(self.table[data] * up[: len(data)], out=sums[1:])
-        return sums, down
-
-    @staticmethod
-    def ranges(prefixes: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        sums, down = prefixes
-        return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+        self.key = np.random.Generator(np.random.PCG64(seed)).integers(0, 2**64, 2, dtype=np.uint64)
+
+    def of(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        out = mix((end - start).astype(np.uint64) * self.key[0] + self.key[1])
+        long = np.flatnonzero(end - start > LONG)
+        stop = end if not len(long) else np.where(end - start > LONG, start, end)
+        for _, which, x in chunks(data, start, stop):
+            out[which] = mix((out[which] + self.key[1]) ^ x)
+        for i in long.tolist():
+            found = hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8, key=self.key.tobytes())
+            out[i] = np.frombuffer(found.digest(), np.uint64)[0]
+        return out
 
 
 def _is(chars: bytes) -> np.ndarray:

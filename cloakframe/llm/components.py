@@ -13,7 +13,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Each round lets every node point at its smallest neighbour, follows the pointers twice, and contracts the edges to
     what is left between different pointers; the edges at least halve. The minimum is aggregated before the shuffle, so a
-    node with very many edges costs each map task one row. Null ends are dropped; no edges give an empty result."""
+    node with very many edges costs each map task one row. Null ends are dropped; no edges give an empty result. If `rounds`
+    rounds (enough for any number of edges that a table can have) leave edges, that is an error."""
     edges = materialize(edges.filter("a is not null and b is not null and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     labels: DataFrame | None = None
     for _ in range(rounds):
@@ -30,5 +31,5 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         ends = edges.join(near.select(F.col("id").alias("a"), F.col("p").alias("pa")), "a").join(near.select(F.col("id").alias("b"), F.col("p").alias("pb")), "b")
         edges = materialize(ends.filter("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
         if edges.isEmpty():
-            break
-    return labels
+            return labels
+    raise RuntimeError(f"components are not complete after {rounds} rounds")

@@ -48,7 +48,7 @@ def _words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     for a, b in text_blocks(offsets):
         block, rows = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         start, end, row = words(ALNUM[block], rows)
-        yield a, b - a, RangeHash.ranges(_HASH.prefixes(block), start, end), row
+        yield a, b - a, _HASH.of(block, start, end), row
 
 
 def _shingles(h: np.ndarray, n: int = SHINGLE) -> np.ndarray:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .bytehash import LOWER, SPACE, RangeHash, as_long, mix, words
 from .components import components
-from .shared import ids_of, materialize, small, text_blocks, trimmed, utf8_column
+from .shared import materialize, small, text_blocks, trimmed, utf8_column
 
 GROUP = 2048
 #: The table of frequent shingles: at most so many, each counted this often in one batch and in all.
@@ -57,7 +57,7 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     for a, b in text_blocks(offsets):
         block, rows = LOWER[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a]
         start, end, row = words(~SPACE[block], rows)
-        h = RangeHash.ranges(_HASH.prefixes(block), start, end)
+        h = _HASH.of(block, start, end)
         first = np.searchsorted(row, np.arange(b - a + 1))
         whole = np.zeros(max(0, len(h) - size + 1), np.uint64)
         for k in range(size):
@@ -112,7 +112,7 @@ def frequent_shingles(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _spread(size: int, buckets: int) -> Callable:
-    """The shingles of a batch by range: 5 bytes of hash each, and the text (65535: of several texts of the batch)."""
+    """The shingles of a batch by range: 5 bytes of hash each, and the class (65535: of several texts of the batch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -120,10 +120,10 @@ def _spread(size: int, buckets: int) -> Callable:
         number = TaskContext.get().partitionId() << 32
         for whole in batches:
             for batch in (whole.slice(a, 60_000) for a in range(0, whole.num_rows, 60_000)):
-                sets = list(shingle_sets(batch.column(1), size))
+                sets = list(shingle_sets(batch.column(0), size))
                 if not sum(map(len, sets)):
                     continue
-                ids = ids_of(batch.column(0))
+                ids = np.array([_digest(s)[0] for s in sets], np.int64)
                 token, doc = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets]).astype(np.uint16)
                 order = np.argsort(token)
                 token, doc = token[order], doc[order]
@@ -149,7 +149,7 @@ def _spread(size: int, buckets: int) -> Callable:
 
 
 def _alone(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of each batch and its documents the number of their shingles in this range that no other has, packed: one row a batch."""
+    """Of each batch and its classes the number of their shingles in this range that no other has, packed: one row a batch."""
     token = np.zeros((sum(map(len, pdf["hashes"])) // 5, 8), np.uint8)
     token[:, :5] = np.frombuffer(b"".join(pdf["hashes"]), np.uint8).reshape(-1, 5)
     token = token.view(np.uint64).ravel()
@@ -168,10 +168,10 @@ def _alone(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _alone_in_all(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The counts of one batch's documents over all ranges."""
+    """The counts of one batch's classes over all ranges."""
     doc, at = np.unique(np.frombuffer(b"".join(pdf["docs"]), np.int64), return_inverse=True)
     n = np.bincount(at, np.frombuffer(b"".join(pdf["counts"]), np.int32), len(doc)).astype(np.int64)
-    return pd.DataFrame({"doc": doc, "alone": n})
+    return pd.DataFrame({"hi": doc, "alone": n})
 
 
 class Keys:
@@ -271,10 +271,14 @@ def _keyed(size: int, keys: Keys) -> Callable:
 
 
 def _sets(size: int) -> Callable:
+    """The sets of the rows whose text is of the class it was sent for (an id may have texts of several classes)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.tobytes() for s in shingle_sets(batch.column(2), size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], ["group", "doc", "shingles"])
+            wanted = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            sets = [s.tobytes() if _digest(s) == own else None for s, own in zip(shingle_sets(batch.column(3), size), wanted, strict=True)]
+            found = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], ["group", "set", "shingles"])
+            yield found.filter(found.column(2).is_valid())
 
     return run
 
@@ -285,8 +289,8 @@ def _links(threshold: int) -> Callable:
     Every set leads, against the later sets of other components: a pair is only left out when it is connected already."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("doc").sort_values("doc")
-        doc = pdf["doc"].to_numpy()
+        pdf = pdf.drop_duplicates("set").sort_values("set")
+        doc = pdf["set"].to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
         size = np.array([len(s) for s in sets])
         whole, where = np.concatenate(sets), np.concatenate(([0], np.cumsum(size)))
@@ -341,7 +345,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     component_id is the smallest id reachable. A text without words or null has no shingles and is its own component. A
     null id is returned with its n_shingles and a null component, and links with nothing. Rows that repeat an id with the
-    same text get the same result each. Empty tables give empty results; further columns are not looked at."""
+    same words get the same result each; rows that repeat an id with other words are documents of their own, which are not
+    linked by the id they share. Empty tables give empty results; further columns are not looked at."""
     if not 50 <= threshold <= 100:
         raise ValueError("threshold must be in 50..100")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -352,9 +357,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if threshold < RARE_BELOW:
         shingles = sizes.agg(F.sum("n")).first()[0] or 0
         buckets = max(1, -(-shingles // RANGE))
-        alone = partners.mapInArrow(trimmed(_spread(shingle, buckets)), "bucket int, batch long, hashes binary, texts binary, docs binary").groupBy("bucket").applyInPandas(_alone, "batch long, docs binary, counts binary")
-        alone = alone.groupBy("batch").applyInPandas(_alone_in_all, "doc long, alone long").groupBy("doc").agg(F.max("alone").alias("alone"))
-        left = classes.join(alone, "doc", "left").filter(F.coalesce("alone", F.lit(0)) * 100 <= (100 - threshold) * F.col("n")).select(F.col("doc").alias("doc_id"))
+        spread = partners.select("text").mapInArrow(trimmed(_spread(shingle, buckets)), "bucket int, batch long, hashes binary, texts binary, docs binary")
+        alone = spread.groupBy("bucket").applyInPandas(_alone, "batch long, docs binary, counts binary")
+        alone = alone.groupBy("batch").applyInPandas(_alone_in_all, "hi long, alone long").groupBy("hi").agg(F.max("alone").alias("alone"))
+        left = classes.join(alone, "hi", "left").filter(F.coalesce("alone", F.lit(0)) * 100 <= (100 - threshold) * F.col("n")).select(F.col("doc").alias("doc_id")).distinct()
         partners = partners.join(small(materialize(left, "partners")), "doc_id")
     keys = Keys(threshold, light_boundary(counted, threshold), frequent_shingles(texts, shingle))
 
@@ -362,21 +368,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     centre = F.min("set").over(Window.partitionBy("key"))
     candidates = listed.select(centre.alias("a"), F.col("set").alias("b")).filter("a <> b").distinct()
     groups = components(candidates)
-    members = classes.join(groups, F.col("hi") == F.col("id")).select("doc", F.col("component").alias("group"))
+    members = classes.join(groups, F.col("hi") == F.col("id")).select("hi", "lo", "doc", F.col("component").alias("group"))
     members = materialize(members, "members")
     # about GROUP sets a block, by hash: a large group is counted before the shuffle and never in one task
     counted = members.groupBy("group").agg(F.ceil(F.count("*") / GROUP).alias("blocks"))
-    blocks = members.join(counted, "group").select("doc", "group", F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("block"), "blocks")
+    blocks = members.join(counted, "group").select("hi", "lo", "doc", "group", F.pmod(F.xxhash64("hi"), F.col("blocks")).alias("block"), "blocks")
     blocks = materialize(blocks, "blocks")
-    own = texts.select(F.col("doc_id").alias("doc"), "text").join(small(blocks.select("doc", "group")), "doc").select("group", "doc", "text")
-    sets = own.mapInArrow(trimmed(_sets(shingle)), "group long, doc long, shingles binary")
-    sets = materialize(sets, "shingles").join(blocks.select("doc", "block", "blocks"), "doc")
+    own = texts.select(F.col("doc_id").alias("doc"), "text").join(small(blocks.select("doc", "group", "hi", "lo")), "doc").select("group", "hi", "lo", "text")
+    sets = own.mapInArrow(trimmed(_sets(shingle)), "group long, set long, shingles binary")
+    sets = materialize(sets, "shingles").join(blocks.select(F.col("hi").alias("set"), "block", "blocks"), "set")
     # pair (i, j), i <= j, of a group's blocks: a set of block b goes to (b, j) and (i, b)
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    spread = sets.select("group", "doc", "shingles", "block", other.alias("o")).select("group", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "doc", "shingles")
+    spread = sets.select("group", "set", "shingles", "block", other.alias("o")).select("group", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "set", "shingles")
     links = spread.groupBy("group", "i", "j").applyInPandas(_links(threshold), "a long, b long")
-    reached = components(links).select(F.col("id").alias("doc"), "component")
-    of_class = classes.join(reached, "doc", "left").select("hi", "lo", F.coalesce("component", "doc").alias("c"))
+    reached = classes.join(components(links).select(F.col("id").alias("hi"), "component"), "hi").select("hi", "lo", "doc", "component")
+    smallest = reached.groupBy("component").agg(F.min("doc").alias("c"))
+    of_class = classes.join(reached.join(smallest, "component").select("hi", "lo", "c"), ["hi", "lo"], "left").select("hi", "lo", F.coalesce("c", "doc").alias("c"))
     return sizes.join(of_class, ["hi", "lo"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("c")).otherwise(F.col("doc_id"))).alias("component_id")
     )

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bytehash import LOWER, RangeHash, mix, words
+from .bytehash import LONG, LOWER, RangeHash, chunks, mix, words
 from .shared import materialize, small, text_blocks, trimmed, utf8_column
 
 #: Runs of which a worker keeps the tokens.
@@ -35,8 +35,9 @@ class _Words:
 
     The tokenizer splits at white space and never joins over it, so a text's ids are those of its runs in order. It also
     lower-cases and splits letters from signs: a run of letters (ASCII, and the Latin-1 ones of two bytes) has the ids of its
-    lower-cased letters, and with a full stop or comma behind them also the sign's. Ids are kept by hash of the run, and
-    only runs that are new to the worker go to the tokenizer."""
+    lower-cased letters, and with a full stop or comma behind them also the sign's. Ids are kept by hash of the run beside
+    its bytes, which are compared before they are used; only runs that are new to the worker (and those of more than LONG
+    bytes, which are not kept) go to the tokenizer."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -55,6 +56,7 @@ class _Words:
     def _forget(self) -> None:
         self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes, and places in first and size
         self.first, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+        self.length, self.bytes_at, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)  # the runs, in chunks
 
     def _encode(self, runs: list[str], letters: np.ndarray) -> list[np.ndarray]:
         """Runs of letters alone are a word each, and a word's last token says so: they go as one text."""
@@ -71,21 +73,36 @@ class _Words:
             out[i] = np.array(found.ids, "<u4")
         return out
 
-    def _learn(self, keys: np.ndarray, runs: list[str], letters: np.ndarray) -> None:
-        found = self._encode(runs, letters)
-        size = np.array([len(x) for x in found], np.int64)
+    def _add(self, runs: list[bytes], letters: np.ndarray) -> np.ndarray:
+        """The slots of runs that are tokenised now; the bytes of long ones are not kept."""
+        found = self._encode([x.decode("utf-8", "replace") for x in runs], letters)
+        size, slot = np.array([len(x) for x in found], np.int64), len(self.first) + np.arange(len(runs))
         first = len(self.pool) + np.concatenate(([0], np.cumsum(size)[:-1]))
-        slot = len(self.first) + np.arange(len(keys))
         self.first, self.size, self.pool = np.append(self.first, first), np.append(self.size, size), np.concatenate((self.pool, *found))
+        held = [b"" if len(x) > LONG else x + bytes(-len(x) % 8) for x in runs]
+        places = np.cumsum([0, *(len(x) // 8 for x in held)])[:-1] + len(self.bytes)
+        self.length, self.bytes_at = np.append(self.length, [len(x) for x in runs]), np.append(self.bytes_at, places)
+        self.bytes = np.append(self.bytes, np.frombuffer(b"".join(held), "<u8"))
+        return slot
+
+    def _learn(self, keys: np.ndarray, runs: list[bytes], letters: np.ndarray) -> None:
+        slot = self._add(runs, letters)
         at = np.searchsorted(self.keys, keys)
         self.keys, self.slot = np.insert(self.keys, at, keys), np.insert(self.slot, at, slot)
 
+    def _same(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Whether each range has the very bytes of its slot's run."""
+        same = end - start == self.length[slot]
+        for k, which, x in chunks(data, start, np.where(same, end, start)):
+            same[which] &= self.bytes[self.bytes_at[slot[which]] + k] == x
+        return same
+
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts on end, where each text's begin and end) for texts given as bytes and offsets."""
         start, end, row = words((data != 32) & (data != 10), offsets)
         if not len(start):
             return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
-        if len(self.keys) > WORDS:
+        if len(self.first) > WORDS or len(self.pool) > 16 * WORDS:
             self._forget()
         # two-byte letters of Latin-1: 0xC3 and 0x80 .. 0xBF but the signs 0x97 and 0xB7
         low = LOWER[data]
@@ -104,19 +121,34 @@ class _Words:
         sign[~letters] = 0
         stop = np.where(letters, stop, end)
         key = np.empty(len(start), np.uint64)
-        key[letters] = RangeHash.ranges(_RANGE.prefixes(low), start[letters], stop[letters])
-        key[~letters] = mix(RangeHash.ranges(_RANGE.prefixes(data), start[~letters], stop[~letters]) + np.uint64(1))
-        unique, at, inverse = np.unique(key, return_index=True, return_inverse=True)
+        key[letters] = _RANGE.of(low, start[letters], stop[letters])
+        key[~letters] = mix(_RANGE.of(data, start[~letters], stop[~letters]) + np.uint64(1))
+
+        def runs(which: np.ndarray) -> list[bytes]:
+            return [(low if ok else data)[a:b].tobytes() for a, b, ok in zip(start[which].tolist(), stop[which].tolist(), letters[which].tolist(), strict=True)]
+
+        slot = np.zeros(len(start), np.int64)
+        short = np.flatnonzero(stop - start <= LONG)
+        unique, at, inverse = np.unique(key[short], return_index=True, return_inverse=True)
         place = np.searchsorted(self.keys, unique)
         known = np.zeros(len(unique), bool)
         known[place < len(self.keys)] = self.keys[place[place < len(self.keys)]] == unique[place < len(self.keys)]
         if not known.all():
-            new = at[~known]
-            raw, flat = low.tobytes(), data.tobytes()
-            runs = [(raw if ok else flat)[a:b].decode("utf-8", "replace") for a, b, ok in zip(start[new].tolist(), stop[new].tolist(), letters[new].tolist(), strict=True)]
-            self._learn(unique[~known], runs, letters[new])
+            new = short[at[~known]]
+            self._learn(unique[~known], runs(new), letters[new])
             place = np.searchsorted(self.keys, unique)
-        slot = self.slot[place][inverse]
+        slot[short] = self.slot[place][inverse]
+        same = stop - start <= LONG
+        for of, kind in ((low, letters), (data, ~letters)):
+            which = np.flatnonzero(same & kind)
+            same[which] = self._same(of, start[which], stop[which], slot[which])
+        other_runs = np.flatnonzero(~same)  # long, or another run with the hash of a known one
+        if len(other_runs):
+            found = runs(other_runs)
+            first_of = {x: i for i, x in reversed(list(enumerate(found)))}
+            one = np.array(sorted(first_of.values()))
+            added = dict(zip(one.tolist(), self._add([found[i] for i in one], letters[other_runs[one]]).tolist(), strict=True))
+            slot[other_runs] = [added[first_of[x]] for x in found]
         # each run's ids and then its sign's, taken from the pool with the signs behind it
         pool, more = self.pool, {}
         for c, ids in self.signs.items():

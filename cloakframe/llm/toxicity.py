@@ -35,15 +35,14 @@ def _terms(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     data, offsets = utf8_column(pc.utf8_lower(column.cast(pa.string()).fill_null("")))
     for a, b in text_blocks(offsets):
         block, rows = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-        sums = _HASH.prefixes(block)
         start, end, row = words(ALNUM[block], rows)
-        out, at = [RangeHash.ranges(sums, start, end)], [row]
+        out, at = [_HASH.of(block, start, end)], [row]
         for n in PREFIXES:
             long = end - start > n
-            out.append(mix(RangeHash.ranges(sums, start[long], start[long] + n) + np.uint64(n)))
+            out.append(mix(_HASH.of(block, start[long], start[long] + n) + np.uint64(n)))
             at.append(row[long])
         start, end, row = words(~ALNUM[block] & ~SPACE[block], rows)
-        out.append(RangeHash.ranges(sums, start, end))
+        out.append(_HASH.of(block, start, end))
         at.append(row)
         yield a, b - a, np.concatenate(out), np.concatenate(at)
 

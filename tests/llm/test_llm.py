@@ -374,3 +374,97 @@ def test_pipeline_stages(spark, tmp_path):
     assert private.columns == docs.columns and private.count() == len(texts)
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and hashlib.sha256(b"").hexdigest()
+
+
+def thue_morse(doublings, a="a", b="b"):
+    x, y = a, b
+    for _ in range(doublings):
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_range_hash_has_no_structure():
+    from cloakframe.llm.bytehash import LONG, RangeHash
+
+    rng = np.random.default_rng(9)
+    data = np.frombuffer("".join(thue_morse(12)).encode() + rng.bytes(2000), np.uint8)
+    start, end = np.array([0, 4096, 0, 4096, 0, 8200, 8200, 8192]), np.array([4096, 8192, 200, 4296, 0, 8200, 8208, 8200])
+    got = RangeHash(3).of(data, start, end)
+    assert len(set(got.tolist())) == 7 and got[4] == got[5]
+    for s, e in ((0, 7), (5, 13), (9, 9 + LONG), (8193, 8193 + LONG + 1)):  # where a range stands does not matter
+        one = RangeHash(3).of(np.concatenate((data[s:e], data[:5])), np.array([0]), np.array([e - s]))
+        assert one[0] == RangeHash(3).of(data, np.array([s]), np.array([e]))[0]
+
+
+def test_thue_morse_words_stay_apart(spark):
+    """Words that collide under every polynomial modulo 2**64."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    x, y = thue_morse(12)
+    texts = [x, y, f"1{x} and", f"1{y} and", f"{x[:200]}", f"{y[:200]}", "q " + x, "q " + x]
+    got = {r.doc_id: r.component_id for r in jaccard_components(frame(spark, texts)).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 6, 7: 6}
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    packed = {r.doc_id: bytes(r.ids) for r in pack(frame(spark, texts), path).collect()}
+    assert packed == {i: np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes() for i, t in enumerate(texts)}
+    cut = {r.doc_id: (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), bytes(r.kept)) for r in remove_repeats(frame(spark, texts)).collect()}
+    assert cut == brute_repeats([(i, t.encode()) for i, t in enumerate(texts)], 100)
+    items = spark.createDataFrame([(1, f"a b c d {x} e f g h"), (2, f"a b c d {y} e f g h")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in contaminated(frame(spark, [f"z a b c d {x} e f g h z"]), items).collect()} == {(0, 1)}
+
+
+def test_tokens_survive_a_hash_collision(monkeypatch):
+    """Runs with equal hashes are told apart by their bytes."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from cloakframe.llm import packing
+
+    class Same:
+        def of(self, data, start, end):
+            return (end - start).astype(np.uint64)
+
+    monkeypatch.setattr(packing, "_RANGE", Same())
+    known = packing._Words(public_tokenizers.path("word_bpe_49k.json"))
+    for text in ("some words more word Word, 123 456 12x x21 " + "ab" * 300 + " " + "ba" * 300, "here are others 789 " + "ab" * 300, "é è ê ab."):
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids, bounds = known.ids(data, np.array([0, len(data)]))
+        assert ids.tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids and bounds.tolist() == [0, len(ids)]
+
+
+def test_jaccard_repeated_ids(spark):
+    run = lambda a, b: " ".join(f"w{k}" for k in range(a, b))
+    for size, threshold in ((3, 90), (5, 80)):
+        rows = frame(spark, [run(0, 200), run(0, 199), run(300, 500), run(300, 499), run(0, 200)], [1, 5, 5, 9, 1])
+        got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(rows, shingle=size, threshold=threshold).collect())
+        assert got == Counter([(1, 201 - size, 1), (1, 201 - size, 1), (5, 200 - size, 1), (5, 201 - size, 5), (9, 200 - size, 5)])
+
+
+def test_repeats_of_repeated_ids(spark):
+    rng = np.random.default_rng(5)
+    part = lambda n: "".join(rng.choice(list("abcdef "), n))
+    long = part(600)
+    for other in (long[:202], "x" * 15, part(300) + long[100:400]):
+        rows = [(5, long), (5, other), (5, long), (7, long[50:300]), (None, other), (None, None)]
+        got = [(r.doc_id, r.n_bytes, sum(s.end - s.start for s in r.spans), bytes(r.kept)) for r in remove_repeats(frame(spark, [t for _, t in rows], [i for i, _ in rows])).collect()]
+        every = sorted({t or "" for _, t in rows})
+        hashed = spark.createDataFrame([(t,) for t in every], "t string").select("t", F.xxhash64("t").alias("h"))
+        digest = {r.t: r.h for r in hashed.collect()}
+        order = sorted({(-1 if i is None else i, digest[t or ""], t or "") for i, t in rows})
+        found = brute_repeats([(k, t.encode()) for k, (_, _, t) in enumerate(order)], 100)
+        place = {(i, t): k for k, (i, _, t) in enumerate(order)}
+        expected = [(i, found[place[(-1 if i is None else i, t or "")]]) for i, t in rows]
+        assert Counter(got) == Counter((i, n, removed, kept) for i, (n, removed, _, kept) in expected)
+
+
+def test_frequent_grams_are_dealt_by_context(spark, monkeypatch):
+    from cloakframe.llm import suffix_dedup
+
+    rng = np.random.default_rng(8)
+    part = lambda n: "".join(rng.choice(list("abcdef "), n))
+    line, long = part(70), part(130)
+    texts = [part(60) + line + part(60) + (long if i % 3 else "") + part(20) for i in range(60)]
+    monkeypatch.setattr(suffix_dedup, "IN_ALL", 20)
+    assert len(suffix_dedup.frequent_grams(frame(spark, texts), 100))
+    got = {r.doc_id: (r.n_bytes, sum(x.end - x.start for x in r.spans), len(r.spans), bytes(r.kept)) for r in remove_repeats(frame(spark, texts)).collect()}
+    assert got == brute_repeats([(i, x.encode()) for i, x in enumerate(texts)], 100)
