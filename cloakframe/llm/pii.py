@@ -9,21 +9,30 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import warnings
 from collections.abc import Callable
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import give_back
+from .shared import free_name, give_back
 
-
-#: A key for tests and queries; give a secret one of your own in use.
-PIPELINE_KEY = b"cloakframe-test-key"
+#: The session setting that holds the key of the query and the pipeline, and the key of tests and trials, which hides nothing.
+KEY_SETTING = "spark.cloakframe.pii.key"
+TRIAL_KEY = b"cloakframe-test-key"
 ROUNDS = 10
 
 
+def session_key(spark: SparkSession) -> bytes:
+    """The key in the session's settings; without one the published trial key, and a warning that it hides nothing."""
+    found = spark.conf.get(KEY_SETTING, None)
+    if not found:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms under the published trial key can be undone by anyone", stacklevel=2)
+    return found.encode() if found else TRIAL_KEY
+
+
 def feistel(value: int, low: int, high: int, key: bytes, tweak: bytes, back: bool = False) -> int:
     """A keyed permutation of the numbers 0 .. low * high - 1, seen as pairs (below low, below high)."""
     a, b = value % low, value // low
@@ -224,29 +233,30 @@ def _ipv4(text: str, key: bytes, back: bool) -> str | None:
 _FIRST, _DAYS = datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal() - datetime.date(1900, 1, 1).toordinal()
 
 
+def _late(n: int) -> bool:
+    """Whether a date's day is no month's number."""
+    return datetime.date.fromordinal(n + _FIRST).day > 12
+
+
 def _date(text: str, key: bytes, back: bool) -> str | None:
-    """Year first, or day before month, or month before day where only that is a date."""
+    """Year first, or day before month, or month before day where only that is a date.
+
+    Dates with a day over 12 and the others are permuted among themselves, so every image reads in the order it was written
+    in, and a date has one image however it is written."""
     a, b, c = re.split(r"[-/.]", text)
-    orders = [(a, b, c)] if len(a) == 4 else [(c, b, a), (c, a, b)]
-    for k, (y, m, d) in enumerate(orders):
+    orders = {"ymd": (a, b, c)} if len(a) == 4 else {"dmy": (c, b, a), "mdy": (c, a, b)}
+    for order, (y, m, d) in orders.items():
         try:
             n = datetime.date(int(y), int(m), int(d)).toordinal() - _FIRST
         except ValueError:
             continue
         if not 0 <= n < _DAYS:
             return None
-        if len(a) == 4:
-            ok = None
-        elif k == 0:
-            ok = None
-        else:  # stays one that only reads as month before day
-
-            def ok(n: int) -> bool:
-                return datetime.date.fromordinal(n + _FIRST).day > 12
-
-        new = datetime.date.fromordinal(permute(n, _DAYS, key, b"date", back, ok) + _FIRST)
-        fields = iter([f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"] if len(a) == 4 else [f"{new.day:02d}", f"{new.month:02d}", f"{new.year:04d}"] if k == 0 else [f"{new.month:02d}", f"{new.day:02d}", f"{new.year:04d}"])
-        return re.sub(r"\d+", lambda _: next(fields), text)
+        late = _late(n)
+        new = datetime.date.fromordinal(permute(n, _DAYS, key, b"date", back, lambda x: _late(x) == late) + _FIRST)
+        fields = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
+        parts = iter([fields[x] for x in order])
+        return re.sub(r"\d+", lambda _: next(parts), text)
     return None
 
 
@@ -346,12 +356,19 @@ def _run(key: bytes, back: bool) -> Callable:
     return run
 
 
-def pseudonymise(rows: DataFrame, key: bytes, text_col: str = "text", back: bool = False) -> DataFrame:
+def pseudonymise(rows: DataFrame, key: bytes, text_col: str = "text", back: bool = False, spans_col: str | None = "spans") -> DataFrame:
     """rows with the text's personal values replaced, and spans (start, end in the old text's characters, kind).
 
-    back=True undoes it with the same key. Null and empty texts stay as they are, with no spans. All other columns and all
-    rows stay; a column named spans is replaced. An empty table gives an empty result."""
-    done = F.arrow_udf(_run(key, back), "text string, spans array<struct<start:int,end:int,kind:string>>")(F.col(text_col).cast("string"))
-    rest = [c for c in rows.columns if c != "spans"]
-    out = rows.select(*rest, done.alias("_done"))
-    return out.select(*[F.col("_done.text").alias(c) if c == text_col else F.col(c) for c in rest], "_done.spans")
+    back=True undoes it with the same key. Null and empty texts stay as they are, with no spans. All other columns, whatever
+    their names, and all rows stay. The spans stand last, under spans_col (None: they are left out); if a column of rows has
+    that name, in whatever case, it stays and the spans' name gets underscores until it is free. An empty table gives an
+    empty result."""
+    if not key:
+        raise ValueError("a key is needed")
+    done = F.arrow_udf(_run(key, back), "text string, spans array<struct<start:int,end:int,kind:string>>")(F.col(f"`{text_col}`").cast("string"))
+    # one struct holds the row, so no name can clash with a helper's
+    out = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), done.alias("done"))
+    columns = [F.col("done.text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in rows.columns]
+    if spans_col is not None:
+        columns.append(F.col("done.spans").alias(free_name(rows, spans_col)))
+    return out.select(*columns)
