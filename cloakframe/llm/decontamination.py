@@ -1,14 +1,15 @@
 """Benchmark decontamination: a BM25 index of the test items, queried by every passage of every document.
 
 A passage is a run of 2 * stride words, a new one every stride words, and stride is at least the longest item's length, so an
-item that a document holds lies within one passage. The index holds the items as documents (their impacts are BM25 term
+item that a document holds lies within one passage. An item is a question and, where the benchmark has a column of answers,
+an answer; both must be found. The index holds the items as documents (their impacts are BM25 term
 scores) in blocks of BLOCK items with each term's largest impact in each block. For a passage the block maxima of its
 distinct terms are added up, and only blocks whose sum reaches the threshold are scored (block-max WAND, for a block of
 passages at once). A found item's word shingles are then compared with the passage's, for its question and its answer.
 
-The score threshold loses nothing: an item of S shingles of which a share v is in the passage lacks at most
-m = floor((1 - v) S) words, as each missing word takes a shingle of its own with it. Its score is its own full score less at
-most its m largest impacts, and that is its threshold."""
+The score threshold loses nothing: a part of S shingles of which a share v is in the passage lacks at most
+floor((1 - v) S) words, as each missing word takes a shingle of its own with it. An item's score is its own full score less at
+most as many of its largest impacts as its question and answer may lack, and that is its threshold."""
 
 from __future__ import annotations
 
@@ -26,11 +27,9 @@ from .shared import text_blocks, trimmed, utf8_column
 
 K1, B = 1.2, 0.75
 BLOCK = 8
-#: Items of one index; a larger benchmark is searched index by index.
-ITEMS = 4096
+#: Items of one index, and indexes that one scan of the documents searches.
+ITEMS, INDEXES = 4096, 8
 SHINGLE, SHARE = 5, 0.8
-#: The last share of an item's words that counts as its answer if it has no answer column.
-ANSWER = 0.2
 
 _HASH = RangeHash(21)
 _OUT = "doc_id long, item_id long, passage long, score double, overlap double, question_overlap double, answer_overlap double"
@@ -88,9 +87,10 @@ def build(items: list[tuple[int, list[np.ndarray], np.ndarray]], share: float =
         inverse.append((t, tf))
     idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
     whole = [_part(h) for _, _, h in items]
+    parts = [[_part(p) for p in x[1]] for x in items]
     for i, (t, tf) in enumerate(inverse):
         impact = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(items[i][2]) / mean))
-        lacking = int((1 - share) * len(whole[i][1]) + 1e-9)
+        lacking = sum(int((1 - share) * len(p[1]) + 1e-9) for p in parts[i])
         least = impact.sum() - np.sort(impact)[::-1][:lacking].sum()
         postings.append(np.stack([t, np.full(len(t), i), impact / max(least * (1 - 1e-9), 1e-12)], axis=1))
     every = np.concatenate(postings)
@@ -100,7 +100,6 @@ def build(items: list[tuple[int, list[np.ndarray], np.ndarray]], share: float =
     width = -(-n // blocks)
     bounds = np.zeros((len(terms), blocks), np.float32)
     np.maximum.at(bounds, (term, item // width), np.nextafter(every[:, 2].astype(np.float32), np.float32(np.inf)))
-    parts = [[_part(p) for p in x[1]] for x in items]
     return Index(np.array([x[0] for x in items]), [p[0] for p in parts], [p[1] for p in parts], whole, terms, np.searchsorted(term, np.arange(len(terms) + 1)), item, every[:, 2], bounds, max(len(x[2]) for x in items))
 
 
@@ -114,8 +113,8 @@ def _share(part: tuple[int, np.ndarray], passage: np.ndarray) -> float:
     return float(np.isin(shingles, _shingles(passage, n)).mean()) if n else 1.0
 
 
-def _search(held, stride: int, share: float) -> Callable:
-    def block(index: Index, a: int, h: np.ndarray, row: np.ndarray, ids: list) -> Iterator[tuple]:
+def _search(held, share: float) -> Callable:
+    def block(index: Index, stride: int, a: int, h: np.ndarray, row: np.ndarray, ids: list) -> Iterator[tuple]:
         first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
         size = np.diff(np.append(first, len(row)))
         cells = -(-size // stride)  # of each text that has words
@@ -149,15 +148,14 @@ def _search(held, stride: int, share: float) -> Callable:
             lo = int(first[t]) + nth * stride
             here = h[lo : min(lo + 2 * stride, int(first[t] + size[t]))]
             for i in hits.tolist():
-                shared = _share(index.whole[i], here)
-                if shared >= share:
-                    yield ids[a + int(row[first[t]])], int(index.ids[i]), nth, float(score[i]), shared, _share(index.question[i], here), _share(index.answer[i], here)
+                question, answer = _share(index.question[i], here), _share(index.answer[i], here)
+                if question >= share and answer >= share:
+                    yield ids[a + int(row[first[t]])], int(index.ids[i]), nth, float(score[i]), _share(index.whole[i], here), question, answer if index.answer[i][0] else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = held.value
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            out = [r for a, _, h, row in _words(batch.column(1)) if len(h) for r in block(index, a, h, row, ids)]
+            out = [r for a, _, h, row in _words(batch.column(1)) if len(h) for index, stride in held.value for r in block(index, stride, a, h, row, ids)]
             columns = list(zip(*out, strict=True)) if out else [()] * 7
             kinds = [pa.int64()] * 3 + [pa.float64()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "passage", "score", "overlap", "question_overlap", "answer_overlap"])
@@ -178,33 +176,29 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, answer_col: str | N
 
     out = []
     for i, q, a in zip(found.column("id").to_pylist(), hashes(found.column("text")), hashes(found.column("answer")), strict=True):
-        if answer_col is None:
-            k = len(q) - int(np.ceil(ANSWER * len(q)))
-            parts, whole = [q[:k], q[k:]], q
-        else:
-            parts, whole = [q, a], np.concatenate((q, a))
-        if len(whole):
-            out.append((i, parts, whole))
+        if len(q) + len(a):
+            out.append((i, [q, a], np.concatenate((q, a))))
     return out
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", answer_col: str | None = None, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, passage, score, overlap, question_overlap, answer_overlap) of each document and item that it holds.
 
-    A document holds an item if some passage has at least `share` of the item's distinct five-word shingles; the row is that
-    of its best passage. question_overlap and answer_overlap are the shares of the question's and the answer's shingles;
-    without answer_col the last fifth of an item's words is its answer. Items without words or with a null id take no part;
-    an item id with several texts is several items. Null or empty texts hold nothing; rows with a null id are found as such;
-    rows that repeat an id give one row together. Empty tables give an empty result; further columns are not looked at. The
-    benchmark is held on the driver, ITEMS items at a time."""
+    A document holds an item if some passage has at least `share` of the distinct five-word shingles of its question, and of
+    its answer if there is an answer_col (an answer of fewer words is one shingle); without one an item is a question alone
+    and answer_overlap is null. The row is that of the best passage; overlap is that of question and answer together. Items
+    without words or with a null id take no part; an item id with several texts is several items. Null or empty texts hold
+    nothing; rows with a null id are found as such; rows that repeat an id give one row together. Empty tables give an empty
+    result; further columns are not looked at. The benchmark is held on the driver; a scan of the documents searches
+    ITEMS * INDEXES items."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     items = _items(benchmark, item_col, item_text, answer_col)
+    indexes = [build(items[at : at + ITEMS], share) for at in range(0, len(items), ITEMS)]
     out = spark.createDataFrame([], _OUT)
-    for at in range(0, len(items), ITEMS):
-        index = build(items[at : at + ITEMS], share)
-        held = spark.sparkContext.broadcast(index)
-        found = texts.mapInArrow(trimmed(_search(held, max(64, index.longest), share)), _OUT)
+    for at in range(0, len(indexes), INDEXES):
+        held = spark.sparkContext.broadcast([(index, max(64, index.longest)) for index in indexes[at : at + INDEXES]])
+        found = texts.mapInArrow(trimmed(_search(held, share)), _OUT)
         out = found if at == 0 else out.union(found)
     best = F.max_by(F.struct("passage", "score", "overlap", "question_overlap", "answer_overlap"), F.struct("overlap", "score", -F.col("passage"))).alias("best")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
