@@ -1,18 +1,23 @@
 """Shards as runs of a Hilbert curve over several metadata dimensions, in DataFrame operations only.
 
-Each dimension is quantised to 2**BITS steps; the curve index of a cell keeps cells that are near in all dimensions near in
-order, so a run of it covers small ranges in every dimension and a reader skips files by any of them. A row's place is found
-from counts by (cell, salt): only these counts, of bounded number, are summed in order, and no task holds a hot cell's rows."""
+Each dimension is quantised to 2**BITS steps that keep its order and hold about as many rows each (cuts at quantiles, numbers
+of bounded count); the curve index of a cell keeps cells that are near in all dimensions near in order, so a run of it covers
+small ranges in every dimension and a reader skips files by the least and largest value of any of them.
+
+Within a cell rows stand by a hash of their group, so the rows of a group that share a cell are next to each other. A row's
+place is found from counts by cell, bucket of groups and group; a group of more than ROWS rows is dealt to several tasks by
+its ties. So no task holds a hot cell or a hot group."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import small
+from .shared import free_name, materialize
 
 BITS = 5
-SALTS = 64
+#: Rows of one bucket of groups, or of one part of a large group, on average.
+ROWS = 50_000
 
 
 def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:
@@ -49,39 +54,74 @@ def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:
     )
 
 
-def label_step(c: Column, bits: int = BITS) -> Column:
-    """A label's step by hash; null is a label too."""
-    return F.pmod(F.xxhash64(F.coalesce(c.cast("string"), F.lit("\u0000null"))), F.lit(1 << bits))
+def label_number(c: Column) -> Column:
+    """A number that keeps the order of labels as far as their first six bytes tell it; null comes first."""
+    head = F.substring(c.cast("string").cast("binary"), 1, 6)
+    return F.coalesce(F.conv(F.rpad(F.hex(head), 12, "0"), 16, 10).cast("double"), F.lit(-1.0))
+
+
+def size_number(c: Column) -> Column:
+    """A number as it is; null and not-a-number come first."""
+    value = c.cast("double")
+    return F.when(value.isNull() | F.isnan(value), F.lit(float("-inf"))).otherwise(value)
+
+
+def cuts(rows: DataFrame, dimensions: list[Column], bits: int = BITS) -> list[list[float]]:
+    """Of each dimension the values at which its steps end: 2**bits - 1 quantiles.
+
+    A frequent value is several of them: the steps of a dimension with few values are as far apart as those of one with many,
+    so the curve splits it as early."""
+    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
+    found = rows.agg(*[F.percentile_approx(d, shares, 10_000).alias(f"d{i}") for i, d in enumerate(dimensions)]).first()
+    return [sorted(x or []) for x in found]
 
 
-def size_step(c: Column, bits: int = BITS) -> Column:
-    """A size's step on a logarithmic scale, two a doubling; null is 0."""
-    return F.least(F.lit((1 << bits) - 1), F.greatest(F.lit(0), F.floor(F.log2(F.coalesce(c.cast("double"), F.lit(0.0)) + 1) * 1.5)))
+def step(c: Column, ends: list[float]) -> Column:
+    """How many of the ends are below a value."""
+    if not ends:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*[F.lit(x) for x in ends]), lambda x: x < c))
 
 
-def hilbert_shards(rows: DataFrame, steps: dict[str, Column], tie: Column, shards: int = 16, bits: int = BITS) -> DataFrame:
+def hilbert_shards(rows: DataFrame, dimensions: list[Column], group: Column, tie: Column, shards: int = 16, bits: int = BITS) -> DataFrame:
     """rows with curve_index, shard and slot: in curve order, cut into shards whose row counts differ by one at most.
 
-    steps: the quantised dimensions. tie: orders the rows of a cell; equal ties may come in either order. slot counts from 0
-    in each shard. Rows are never dropped: nulls have steps of their own, repeated rows are placed each, and an empty table
-    gives an empty result. The names curve_index, shard and slot must not be taken in rows."""
-    names = [f"_step_{i}" for i in range(len(steps))]
-    cells = rows.select("*", *[c.cast("int").alias(n) for n, c in zip(names, steps.values(), strict=True)], F.pmod(F.xxhash64(tie), F.lit(SALTS)).cast("int").alias("_salt"), tie.alias("_tie"))
-    counts = cells.groupBy(*names, "_salt").agg(F.count("*").alias("_n"))
-    counts = counts.withColumn("curve_index", hilbert_index([F.col(n) for n in names], bits))
-    # by cell first, then by salt in its cell: a window without keys sees one row a cell
-    by_cell = counts.groupBy("curve_index").agg(F.sum("_n").alias("_c"))
-    before = Window.orderBy("curve_index").rowsBetween(Window.unboundedPreceding, -1)
-    by_cell = by_cell.select("curve_index", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"), F.sum("_c").over(Window.partitionBy()).alias("_all"))
-    in_cell = Window.partitionBy("curve_index").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.withColumn("_in", F.coalesce(F.sum("_n").over(in_cell), F.lit(0))).join(by_cell, "curve_index")
-    bases = bases.select(*names, "_salt", "curve_index", (F.col("_before") + F.col("_in")).alias("_base"), "_all")
-    own = Window.partitionBy(*names, "_salt").orderBy("_tie")
-    placed = cells.withColumn("_at", F.row_number().over(own) - 1).join(bases, [*names, "_salt"])
-    at = F.col("_base") + F.col("_at")
-    # the shard of place r is floor(r * shards / all); it starts at ceil(shard * all / shards)
-    shard = F.floor(at * shards / F.col("_all")).cast("long")
-    shard = F.expr(f"(_base + _at) * {shards} div _all")
-    start = F.expr(f"(shard * _all + {shards - 1}) div {shards}")
-    placed = placed.withColumn("shard", shard).withColumn("slot", (at - start).cast("long"))
-    return placed.withColumn("shard", F.col("shard").cast("int")).drop(*names, "_salt", "_tie", "_at", "_base", "_all")
+    dimensions: numbers to quantise (`label_number`, `size_number`). group: rows with equal groups in a cell stand together.
+    tie: orders the rows of a group; equal ties may come in either order. slot counts from 0 in each shard. Rows are never
+    dropped: nulls have places of their own, repeated rows are placed each, and an empty table gives an empty result. A
+    column of rows that has the name of a result, in whatever case, stays, and the result's name gets underscores."""
+    axes = [f"s{i}" for i in range(len(dimensions))]
+    # one struct holds the row, so no name can clash with a helper's
+    quantised = [step(d, ends).cast("int").alias(n) for n, d, ends in zip(axes, dimensions, cuts(rows, dimensions, bits), strict=True)]
+    cells = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), *quantised, F.xxhash64(group).alias("g"), tie.alias("tie"))
+    cells = materialize(cells, "cells")
+    buckets = max(1, -(-cells.count() // ROWS))
+    cells = cells.withColumn("bucket", F.pmod("g", F.lit(buckets)))
+
+    # a group larger than ROWS is dealt by its ties; there are at most rows / ROWS of these
+    hot = cells.groupBy(*axes, "g").agg(F.count("*").alias("n")).filter(F.col("n") > ROWS).select(*axes, "g", F.ceil(F.col("n") / ROWS).alias("parts"))
+    hot = materialize(hot, "hot-groups")
+    part = F.pmod(F.xxhash64("tie"), F.coalesce("parts", F.lit(1)))
+    cells = cells.join(F.broadcast(hot), [*axes, "g"], "left").withColumn("part", part).drop("parts")
+
+    key = [*axes, "bucket", "g", "part"]
+    counts = cells.groupBy(*key).agg(F.count("*").alias("n"))
+    buckets_of = counts.groupBy(*axes, "bucket").agg(F.sum("n").alias("n")).withColumn("curve_index", hilbert_index([F.col(n) for n in axes], bits))
+    by_cell = buckets_of.groupBy("curve_index").agg(F.sum("n").alias("c"))  # 2 ** (bits * dimensions) rows at most
+    earlier = Window.orderBy("curve_index").rowsBetween(Window.unboundedPreceding, -1)
+    by_cell = by_cell.select("curve_index", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("before"), F.sum("c").over(Window.partitionBy()).alias("total"))
+    in_cell = Window.partitionBy("curve_index").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = buckets_of.withColumn("inside", F.coalesce(F.sum("n").over(in_cell), F.lit(0))).join(by_cell, "curve_index")
+    starts = starts.select(*axes, "bucket", "curve_index", (F.col("before") + F.col("inside")).alias("start"), "total")
+    in_bucket = Window.partitionBy(*axes, "bucket").orderBy("g", "part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.withColumn("behind", F.coalesce(F.sum("n").over(in_bucket), F.lit(0))).join(starts, [*axes, "bucket"])
+    bases = bases.select(*key, "curve_index", (F.col("start") + F.col("behind")).alias("base"), "total")
+
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy("tie")) - 1
+    placed = cells.withColumn("nth", nth).join(bases, key).withColumn("at", F.col("base") + F.col("nth"))
+    # the shard of place r is floor(r * shards / total); it starts at ceil(shard * total / shards)
+    placed = placed.withColumn("shard", F.expr(f"at * {shards} div total"))
+    slot = F.expr(f"at - (shard * total + {shards - 1}) div {shards}").cast("long")
+    names = [free_name(rows, n) for n in ("curve_index", "shard", "slot")]
+    own = [F.col(f"row.`{c}`") for c in rows.columns]
+    return placed.select(*own, F.col("curve_index").alias(names[0]), F.col("shard").cast("int").alias(names[1]), slot.alias(names[2]))
