@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import materialize, small
 
 #: Notices of public licences and their SPDX identifiers.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -148,27 +148,30 @@ def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_
     via is `header` (a notice in the file), `inherited` (license_path is the licence file of the nearest folder above or at
     the file's) or null. Of several notices the most similar counts, then the first by name; of several licence files of a
     folder the most similar, then the first by path. Null text has no notice; a null path is in no folder; rows that repeat
-    an id and path are one file with several results, the same for each. An empty table gives an empty result; further
+    an id and path with the same text are one file with several results, the same for each; with other texts they are files
+    of their own. An empty table gives an empty result; further
     columns are not looked at."""
     path = F.col(path_col).cast("string")
     base = files.select(F.col(id_col).cast("long").alias("doc_id"), path.alias("path"), F.col(text_col).cast("string").alias("text"))
-    base = base.withColumn("key", F.struct("doc_id", "path")).withColumn("folder", F.regexp_replace(F.concat(F.lit("/"), F.col("path")), "/[^/]*$", ""))
+    key = F.struct("doc_id", "path", F.xxhash64(F.coalesce("text", F.lit(""))).alias("of_text"))
+    base = base.withColumn("key", key).withColumn("folder", F.regexp_replace(F.concat(F.lit("/"), F.col("path")), "/[^/]*$", ""))
     found = headers(base.select("key", "text"))
     top = F.min_by(F.struct("license", "similarity"), F.struct(-F.col("similarity"), "license")).alias("h")
-    # units of one kind do not overlap
+    # units of one kind do not overlap; a repeated row brings all its units again
     per_file = found.groupBy("key", "unit").agg(top, F.sum("words").alias("words")).groupBy("key").agg(F.min_by("h", F.struct(-F.col("h.similarity"), "h.license")).alias("h"), F.max("words").alias("words"))
-    sizes = F.size(_terms(F.col("text")))
-    named = base.select("key", "folder", sizes.alias("size")).join(per_file, "key", "left")
+    per_file = materialize(per_file, "notices")
+    sizes = base.join(small(per_file), "key").select("key", "folder", "h", "words", F.size(_terms(F.col("text"))).alias("size"))
+    one = sizes.groupBy("key").agg(F.first("folder").alias("folder"), F.first("h").alias("h"), F.first("words").alias("words"), F.first("size").alias("size"), F.count("*").alias("copies"))
 
-    licence_files = named.filter((F.col("words") >= FILE_SHARE * F.col("size")) & F.col("h").isNotNull() & F.col("folder").isNotNull())
+    licence_files = one.filter((F.col("words") >= FILE_SHARE * F.col("size") * F.col("copies")) & F.col("folder").isNotNull())
     order = F.struct(-F.col("h.similarity"), "key.path", "h.license")
     of_folder = licence_files.groupBy(F.col("folder").alias("above")).agg(F.min_by(F.struct("h.license", "h.similarity", F.col("key.path").alias("path")), order).alias("l"))
     # the folders, once each, with all folders above them
-    folders = named.filter("folder is not null").select("folder").distinct()
+    folders = base.filter("folder is not null").select("folder").distinct()
     parts = F.split("folder", "/")
     above = folders.select("folder", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))).alias("above"))
     nearest = above.join(of_folder, "above").groupBy("folder").agg(F.max_by("l", F.length("above")).alias("l"))
-    out = named.select("key", "folder", "h").join(nearest, "folder", "left")
+    out = base.select("key", "folder").join(small(per_file.select("key", "h")), "key", "left").join(nearest, "folder", "left")
     own = F.col("h").isNotNull()
     return out.select(
         "key.doc_id", "key.path", F.coalesce("h.license", "l.license").alias("license"), F.when(own, F.col("h.similarity")).otherwise(F.col("l.similarity")).alias("similarity"),
