@@ -147,7 +147,7 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     model = Model(languages, codes, weights.astype(np.float32), np.ones(codes.shape[1]))
     if len(languages) > 1:
         total = labelled.count()
-        some = labelled.filter(F.pmod(F.xxhash64("text"), F.lit(max(1, total // WEIGH_ROWS))) == 0).limit(2 * WEIGH_ROWS).toArrow()
+        some = labelled.filter(F.pmod(F.xxhash64("text"), F.lit(max(1, total // WEIGH_ROWS))) == 0).orderBy(F.xxhash64("text", F.lit(1)), "lang").limit(2 * WEIGH_ROWS).toArrow()
     if len(languages) > 1 and some.num_rows:
         some = some.combine_chunks()
         margins = model.margins(some.column("text").combine_chunks())

@@ -55,9 +55,9 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .pii import PIPELINE_KEY, pseudonymise
+    from .pii import pseudonymise, session_key
 
-    return pseudonymise(table(spark, sf_dir, "documents"), PIPELINE_KEY).select("doc_id", "text", F.size("spans").alias("n_replaced"), F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["kind"]))).alias("kinds"))
+    return pseudonymise(table(spark, sf_dir, "documents"), session_key(spark)).select("doc_id", "text", F.size("spans").alias("n_replaced"), F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["kind"]))).alias("kinds"))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,13 +67,14 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .hilbert import hilbert_shards, label_step, size_step
+    from .hilbert import hilbert_shards, label_number, size_number
 
-    raw = F.col("text").cast("binary")
+    raw = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
-    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", size.alias("size"), F.crc32(F.coalesce(raw, F.lit(b""))).alias("text_crc32"))
-    placed = hilbert_shards(rows, {"lang": label_step(F.col("lang")), "source": label_step(F.col("source")), "size": size_step(F.col("size"))}, F.struct("text_crc32", "doc_id"), shards=16)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve_index")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", size.alias("size"), F.crc32(raw).alias("text_crc32"), F.xxhash64(raw).alias("text_hash"))
+    dimensions = [label_number(F.col("lang")), label_number(F.col("source")), size_number(F.col("size"))]
+    placed = hilbert_shards(rows, dimensions, F.col("text_hash"), F.col("doc_id"), shards=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve_index", "lang", "source")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import ctypes
 import tempfile
@@ -22,23 +23,26 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (in tests) one that is made here."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir, or, on one machine, one that is made here."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        held = spark.sparkContext.getCheckpointDir()
-        if held is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cloakframe-"))
-            held = spark.sparkContext.getCheckpointDir()
-        found = held
-    return found.rstrip("/")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cloakframe-"))
+        found = spark.sparkContext.getCheckpointDir()
+    return f"{found.rstrip('/')}/cloakframe/{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: the lineage ends there, and a lost executor loses nothing.
 
-    The shuffle files of the job go as soon as it has ended, where the session allows that."""
+    The shuffle files of the job go as soon as it has ended, where the session allows that. The tables stay, as results read
+    them, until `clean_up` or the end of the program that started the session."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cloakframe/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if spark.sparkContext.applicationId not in _registered:
+        _registered.add(spark.sparkContext.applicationId)
+        atexit.register(clean_up, spark)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
@@ -51,11 +55,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+_registered: set[str] = set()
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete all tables that this application has written to the shared folder; results that read them end with that."""
+    with contextlib.suppress(Exception):  # the session may have ended
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """df with a broadcast hint if it was counted to have at most so many rows; else as it is, for a shuffled join.
 
     df must be cheap to count (a written table)."""
-    return F.broadcast(df) if df.count() <= rows else df
+    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if rows is None else rows) else df
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores until no column of df has it, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def text_blocks(offsets: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:

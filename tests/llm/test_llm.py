@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cloakframe.llm import pii
 from cloakframe.llm.components import components
 from cloakframe.llm.decontamination import contaminated
-from cloakframe.llm.hilbert import hilbert_index, hilbert_shards, label_step
+from cloakframe.llm.hilbert import hilbert_index, hilbert_shards, label_number, size_number
 from cloakframe.llm.jaccard_join import Keys, jaccard_components, light_boundary
 from cloakframe.llm.language_id import codewords, predict, train
 from cloakframe.llm.license_scan import scan
@@ -216,13 +216,49 @@ def test_hilbert_curve_is_one_walk(spark):
 
 
 def test_hilbert_shards(spark):
-    rows = spark.createDataFrame([(i % 90 if i % 7 else None, None if i % 5 == 0 else f"l{i % 3}") for i in range(101)], "doc_id long, lang string")
-    out = hilbert_shards(rows, {"lang": label_step(F.col("lang"))}, F.col("doc_id"), shards=16).collect()
+    rows = spark.createDataFrame([(i % 90 if i % 7 else None, None if i % 5 == 0 else f"l{i % 3}", "kept", 7) for i in range(101)], "doc_id long, lang string, Shard string, row int")
+    out = hilbert_shards(rows, [label_number(F.col("lang"))], F.col("doc_id"), F.col("doc_id"), shards=16)
+    assert out.columns == ["doc_id", "lang", "Shard", "row", "curve_index", "shard_", "slot"]
     slots = defaultdict(list)
+    out = out.collect()
     for r in out:
-        slots[r.shard].append(r.slot)
+        slots[r.shard_].append(r.slot)
     assert len(out) == 101 and {len(v) for v in slots.values()} == {6, 7} and all(sorted(v) == list(range(len(v))) for v in slots.values())
-    assert hilbert_shards(rows.limit(0), {"lang": label_step(F.col("lang"))}, F.col("doc_id")).count() == 0
+    assert hilbert_shards(rows.limit(0), [label_number(F.col("lang"))], F.col("doc_id"), F.col("doc_id")).count() == 0
+
+
+def test_hilbert_steps_keep_order(spark):
+    labels = [None, "", "a", "ab", "b", "zzzzzz", "zzzzzzz", "é"]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in labels], "x string").select(label_number(F.col("x"))).collect()]
+    assert got == sorted(got) and len(set(got)) == len(labels) - 1 and got[5] == got[6]
+    assert [r[0] for r in spark.createDataFrame([(None,), (float("nan"),), (2.0,)], "x double").select(size_number(F.col("x"))).collect()] == [float("-inf"), float("-inf"), 2.0]
+
+
+def test_hilbert_prunes_and_keeps_groups(spark, monkeypatch):
+    """A filter on any one dimension touches few shards, and equal groups of a cell stand side by side, also when split into parts."""
+    from cloakframe.llm import hilbert
+
+    rng = np.random.default_rng(12)
+    rows = [(i, f"l{rng.integers(0, 8)}", f"s{rng.integers(0, 64):02d}", float(rng.lognormal(7, 2)), int(rng.integers(0, 400))) for i in range(6000)]
+    rows += [(10_000 + i, "l3", "s10", 900.0, 7) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, size double, g int")
+    monkeypatch.setattr(hilbert, "ROWS", 500)
+    dimensions = [label_number(F.col("lang")), label_number(F.col("source")), size_number(F.col("size"))]
+    out = sorted(hilbert_shards(df, dimensions, F.col("g"), F.col("doc_id"), shards=64).collect(), key=lambda r: (r.shard, r.slot))
+    assert sorted(r.doc_id for r in out) == sorted(r[0] for r in rows)
+    assert [r.curve_index for r in out] == sorted(r.curve_index for r in out)
+    runs = [(r.curve_index, r.g) for k, r in enumerate(out) if not k or (out[k - 1].curve_index, out[k - 1].g) != (r.curve_index, r.g)]
+    assert len(runs) == len(set(runs))
+    # pruning: runs of 30 rows, where a random order would leave every shard's range wide
+    out = hilbert_shards(df.filter("doc_id < 10000"), dimensions, F.col("g"), F.col("doc_id"), shards=200).collect()
+    for column, wanted in (("lang", "l1"), ("source", "s40"), ("size", 1000.0)):
+        shards = defaultdict(list)
+        for r in out:
+            shards[r.shard].append(getattr(r, column))
+        ranges = [(min(v), max(v)) for v in shards.values()]
+        chance = [(min(v), max(v)) for v in np.array_split(rng.permutation([getattr(r, column) for r in out]), 200)]
+        touched, random = (sum(a <= wanted <= b for a, b in x) for x in (ranges, chance))
+        assert touched <= 0.5 * random, (column, touched, random)
 
 
 def test_language(spark):
@@ -271,11 +307,11 @@ def test_pii_round_trip_and_links():
     assert sorted(pii.permute(i, 50, key, b"t") for i in range(50)) == list(range(50))
 
 
-def swapped(text, back=False):
-    found, out, at = pii.replacements(text, b"k", back), "", 0
+def swapped(text, back=False, key=b"k"):
+    found, out, at = pii.replacements(text or "", key, back), "", 0
     for s, e, _, new in found:
         out, at = out + text[at:s] + new, e
-    return [(text[s:e], k) for s, e, k, _ in found], out + text[at:]
+    return [(text[s:e], k) for s, e, k, _ in found], text if text is None else out + text[at:]
 
 
 def test_pii_beside_other_words():
@@ -301,22 +337,63 @@ def test_pii_beside_other_words():
 
 def test_pii_frame(spark):
     out = pii.pseudonymise(frame(spark, [None, "", "ip 10.20.30.40"]), b"k").orderBy("doc_id").collect()
-    assert out[0].text is None and out[1].text == "" and out[2].text != "ip 10.20.30.40" and [len(r.spans) for r in out] == [0, 0, 1]
+    assert out[0].text is None and out[1].text == "" and out[2].text != "ip 10.20.30.40" and [len(r.spans_) for r in out] == [0, 0, 1]
+    assert {r.spans for r in out} == {"clash"}  # the table's own column
     assert pii.pseudonymise(frame(spark, []), b"k").count() == 0
 
 
+def leak_shingles(text):
+    w = re.findall(r"[^\W_]+", (text or "").lower())
+    return lambda n: {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}, len(w)
+
+
+def brute_leaks(docs, items, answers=None):
+    """(document, item) by the shares of the distinct five-word shingles of question and answer in the whole document."""
+    out, docs = set(), [(i, leak_shingles(x)[0]) for i, x in docs]
+    for item, text in items:
+        parts = [text] if answers is None else [text, answers[item]]
+        if not any(leak_shingles(p)[1] for p in parts):
+            continue
+        wanted = [(min(5, leak_shingles(p)[1]), leak_shingles(p)[0](min(5, leak_shingles(p)[1]))) for p in parts if leak_shingles(p)[1]]
+        out |= {(doc, item) for doc, has in docs if all(len(s & has(n)) >= 0.8 * len(s) for n, s in wanted)}
+    return out
+
+
 def test_decontamination_equals_brute_force(spark):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
-    get = lambda x: re.findall(r"[^\W_]+", (x or "").lower())
-    grams = lambda w: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
-    wanted = {r.item_id: grams(get(r.text)) for r in items.collect()}
-    expected = {(r.doc_id, i) for r in docs.collect() for g in [grams(get(r.text))] for i, s in wanted.items() if len(s & g) >= 0.8 * len(s)}
+    expected = brute_leaks([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
     got = contaminated(docs, items).collect()
-    assert {(r.doc_id, r.item_id) for r in got} == expected and all(r.question_overlap > 0.5 for r in got)
+    assert {(r.doc_id, r.item_id) for r in got} == expected and all(r.question_overlap == r.overlap and r.answer_overlap is None for r in got)
     assert contaminated(docs.limit(0), items).count() == 0 and contaminated(docs, items.limit(0)).count() == 0
     assert contaminated(frame(spark, [None, ""]), items).count() == 0
 
 
+def test_decontamination_verifies_question_and_answer(spark, monkeypatch):
+    from cloakframe.llm import decontamination
+
+    monkeypatch.setattr(decontamination, "ITEMS", 7)
+    monkeypatch.setattr(decontamination, "INDEXES", 2)
+    rng = np.random.default_rng(16)
+    say = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 90, n))
+    items = [(i, say(n), (say(m) if m else None)) for i, (n, m) in enumerate([(30, 8), (12, 1), (6, 3), (40, 20), (3, 2), (20, 0), (0, 6)] * 4)]
+
+    def edited(text, times):
+        w = (text or "").split()
+        for _ in range(times if w else 0):
+            w[rng.integers(0, len(w))] = "changed"
+        return " ".join(w)
+
+    texts = [None, ""]
+    for _, q, a in items:
+        texts += [f"{say(9)} {q} {say(3)} {a or ''} {say(9)}", f"{say(9)} {q} {say(9)}", f"{a}", f"{edited(q, 1)} {a}", f"{q} {edited(a, 1)} {'far ' * 200}", f"{edited(q, 2)} {edited(a, 1)}"]
+    table = spark.createDataFrame(items, "item_id long, text string, answer string")
+    got = contaminated(frame(spark, texts), table, answer_col="answer").collect()
+    answers = {i: a for i, _, a in items}
+    expected = brute_leaks(enumerate(texts), [(i, q) for i, q, _ in items], answers)
+    assert {(r.doc_id, r.item_id) for r in got} == expected and len(expected) > len(items)
+    assert (3, 0) not in expected and (2, 0) in expected  # the question without its answer, and both
+
+
 def test_licenses(spark):
     rows = [
         (1, "a/LICENSE", "Released under the MIT License."), (2, "a/b/x", "plain text"), (3, "a/b/c/y", "Licensed under the Apache License, Version 2.0.\nwords and more words here to make a body"), (4, "z/q", "plain"), (5, None, None),
@@ -359,7 +436,7 @@ def test_language_results_do_not_clash(spark):
     assert predict(wide, train(docs), ["doc_id", "lang_pred", "Score"]).columns == ["doc_id", "lang_pred", "score", "ambiguous"]
 
 
-def test_pipeline_stages(spark, tmp_path):
+def test_pipeline_stages(spark):
     import corpus_pipeline
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -369,11 +446,88 @@ def test_pipeline_stages(spark, tmp_path):
     near = corpus_pipeline.near_duplicates(spark, docs, SF)
     ids = sorted(texts)
     expected = {ids[i] for i, (_, c) in brute_jaccard([texts[i] for i in ids], 5, 80).items() if c == i}
-    assert near.columns == docs.columns and {r.doc_id for r in near.select("doc_id").collect()} == expected
+    assert near.columns == docs.columns and sorted(r.doc_id for r in near.select("doc_id").collect()) == sorted(expected)
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    leaks = {d for d, _ in brute_leaks(texts.items(), items.items())}
+    clean = corpus_pipeline.decontaminate(spark, docs, SF)
+    assert leaks and clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == sorted(set(texts) - leaks)
+    private = corpus_pipeline.private_data(spark, docs, SF).collect()
+    assert {r.doc_id: r.text for r in private} == {i: swapped(x, key=pii.TRIAL_KEY)[1] for i, x in texts.items()}
+    assert all(r.n_chars == len(r.text) for r in private)
+
+
+def test_pipeline_sequences(spark):
+    """Pieces and places of a whole run: every token of every document that is left has one place, and few sequences are used."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    docs = corpus_pipeline.table(spark, SF, "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.materialize(stage(spark, docs, SF), name)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = []
+    for r in docs.collect():
+        ids = np.array([*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4")
+        expected += [(r.doc_id, k, a, len(ids[a : a + 4096]), zlib.crc32(ids[a : a + 4096].tobytes())) for k, a in enumerate(range(0, len(ids), 4096))]
+    out = corpus_pipeline.run(spark, SF).collect()
+    assert sorted(tuple(r)[:5] for r in out) == sorted(expected)
+    check_places([(r.sequence_id, r.offset, r.length) for r in out], 4096)
+
+
+def check_places(rows, capacity):
+    space = defaultdict(list)
+    for s, at, n in rows:
+        space[s].append((at, n))
+    for pieces in space.values():
+        pieces.sort()
+        assert pieces[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(pieces, pieces[1:], strict=False)) and sum(pieces[-1]) <= capacity
+    bins: list[int] = []
+    for n in sorted((n for _, _, n in rows), reverse=True):
+        fit = min((b for b in bins if b >= n), default=None)
+        if fit is not None:
+            bins.remove(fit)
+        bins.append((capacity if fit is None else fit) - n)
+    assert len(space) == len(bins)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_packing_places_over_partitions(spark, monkeypatch, broadcast):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from cloakframe.llm import packing, shared
+
+    if not broadcast:
+        monkeypatch.setattr(packing, "small", lambda df, rows=None: df)
+        assert shared.small(spark.range(5), 4).count() == 5
+    rng = np.random.default_rng(15)
+    texts = [" ".join(["a"] * int(n)) for n in rng.integers(0, 120, 300)]
+    out = pack(frame(spark, texts).repartition(7), public_tokenizers.path("word_bpe_49k.json"), capacity=100).collect()
+    assert len({(r.doc_id, r.piece) for r in out}) == len(out) and sum(r.length for r in out) == sum(len(t.split()) + 1 for t in texts)
+    check_places([(r.sequence_id, r.offset, r.length) for r in out], 100)
+
+
+def test_pipeline_on_odd_rows(spark):
+    """Null and shared ids are judged by row, and no name of a further column clashes."""
+    import corpus_pipeline
+
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").filter("length(text) > 100").orderBy("item_id").first().text
+    english = spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'en' and n_chars between 500 and 3000").orderBy("doc_id").limit(6).collect()
+    a, b, c = (r.text for r in english[:3])
+    names = ["spans", "Row", "row_key", "held", "a.b", "text_hash", "component_id", "curve_index"]
+    rows = [(None, a + " " + item), (7, b), (7, item + " " + c), (7, b), (None, c), (9, b), (None, None), (3, ""), (3, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, *names) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    near = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert near.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in near.collect()) == Counter(set(rows) - {(9, b)})
+    clean = corpus_pipeline.decontaminate(spark, docs, SF)
+    assert Counter((r.doc_id, r.text) for r in clean.collect()) == Counter((i, t) for i, t in rows if item not in (t or ""))
     private = corpus_pipeline.private_data(spark, docs, SF)
-    assert private.columns == docs.columns and private.count() == len(texts)
-    out = corpus_pipeline.run(spark, SF)
-    assert out.count() > 0 and hashlib.sha256(b"").hexdigest()
+    assert private.columns == docs.columns and {tuple(r[-len(names) :]) for r in private.collect()} == {tuple(names)} and private.count() == len(rows)
+    told = corpus_pipeline.language(spark, docs, SF)
+    assert told.columns == docs.columns
+    assert corpus_pipeline.sequences(spark, docs, SF).count() >= len(rows)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0
 
 
 def thue_morse(doublings, a="a", b="b"):
@@ -468,3 +622,151 @@ def test_frequent_grams_are_dealt_by_context(spark, monkeypatch):
     assert len(suffix_dedup.frequent_grams(frame(spark, texts), 100))
     got = {r.doc_id: (r.n_bytes, sum(x.end - x.start for x in r.spans), len(r.spans), bytes(r.kept)) for r in remove_repeats(frame(spark, texts)).collect()}
     assert got == brute_repeats([(i, x.encode()) for i, x in enumerate(texts)], 100)
+
+
+def test_pii_keeps_columns(spark):
+    """No name clashes with a result or a helper."""
+    names = ["_done", "done", "row", "spans", "Spans_", "a.b", "key"]
+    wide = spark.createDataFrame([(1, "ip 10.20.30.40", *names)], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    out = pii.pseudonymise(wide, b"k")
+    assert out.columns == ["doc_id", "text", *names, "spans__"]
+    r = out.first()
+    assert [r[n] for n in names] == names and r.text != "ip 10.20.30.40" and len(r.spans__) == 1
+    assert pii.pseudonymise(wide, b"k", spans_col=None).columns == wide.columns
+    assert pii.pseudonymise(out.drop("spans__"), b"k", back=True).first().text == "ip 10.20.30.40"
+    with pytest.raises(ValueError, match="key"):
+        pii.pseudonymise(wide, b"")
+
+
+def test_pii_links_dates_however_written():
+    for key in (b"a", b"b", b"c"):
+        for y, m, d in [(2020, 12, 31), (1999, 1, 13), (2004, 2, 29), (2020, 3, 4), (1900, 1, 1), (2099, 12, 31)]:
+            forms = [f"{y}-{m:02d}-{d:02d}", f"{y}/{m:02d}/{d:02d}", f"{d:02d}.{m:02d}.{y}", *([f"{m:02d}/{d:02d}/{y}"] if d > 12 else [])]
+            images = []
+            for form in forms:
+                new = pii._date(form, key, False)
+                assert pii._date(new, key, True) == form
+                a, b, c = re.split(r"[-/.]", new)
+                images.append((a, b, c) if len(a) == 4 else (c, a, b) if form == f"{m:02d}/{d:02d}/{y}" else (c, b, a))
+            assert len(set(images)) == 1, (key, forms, images)
+
+
+def brute_pii(text, key):
+    """The replacements of simple values, found by splitting at spaces."""
+    kinds = {"ipv4": r"\d{1,3}(\.\d{1,3}){3}", "ssn": r"\d{3}-\d\d-\d{4}", "date": r"\d{4}-\d\d-\d\d", "email": r"[a-z]+@[a-z]+\.[a-z]+", "secret": r"[0-9a-f]{32}"}
+    out, at = [], 0
+    for word in text.split(" "):
+        for kind, form in kinds.items():
+            if re.fullmatch(form, word) and (new := pii._RULE[kind](word, key, False)):
+                out.append((at, at + len(word), kind, new))
+        if re.fullmatch(r"\d{13,19}", word) and pii.luhn(word[:-1]) == int(word[-1]) and len(set(word)) > 1:
+            body = pii._digits(word[:-1], key, b"card", False)
+            while not pii._is_card(body + str(pii.luhn(body))):
+                body = pii._digits(body, key, b"card", False)
+            out.append((at, at + len(word), "card", body + str(pii.luhn(body))))
+        at += len(word) + 1
+    return out
+
+
+def test_pii_equals_brute_force():
+    rng = np.random.default_rng(14)
+    make = [
+        lambda: ".".join(map(str, rng.integers(0, 300, 4))), lambda: f"{rng.integers(0, 1000):03d}-{rng.integers(0, 100):02d}-{rng.integers(0, 9999):04d}",
+        lambda: f"{rng.integers(1890, 2110)}-{rng.integers(0, 14):02d}-{rng.integers(0, 33):02d}", lambda: "".join(map(str, rng.integers(0, 10, rng.integers(12, 21)))),
+        lambda: "".join(rng.choice(list("0123456789abcdef"), 32)), lambda: "".join(rng.choice(list("xyz"), 5)) + "@mail.org",
+    ]
+    seen = Counter()
+    for _ in range(400):
+        words_ = [x for _ in range(4) for x in (make[rng.integers(0, len(make))](), "plain")]
+        text = " ".join(words_)
+        got = pii.replacements(text, b"key")
+        assert got == brute_pii(text, b"key"), text
+        seen.update(k for _, _, k, _ in got)
+    assert len(seen) == 6 and min(seen.values()) > 20
+
+
+def test_licenses_of_repeated_rows(spark):
+    readme = "# Tool\nReleased under the MIT License.\n" + "words about the tool and how to use it in some longer text\n" * 3
+    rows = [(1, "p/README", readme)] * 4 + [(2, "p/code.py", "x = 1"), (1, "p/README", "other text"), (3, "q/LICENSE", "Released under the ISC License.")] + [(4, "q/a", "y"), (4, "q/a", "y")]
+    got = Counter((r.doc_id, r.license, r.via) for r in scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect())
+    assert got == Counter({(1, "MIT", "header"): 4, (2, None, None): 1, (1, None, None): 1, (3, "ISC", "header"): 1, (4, "ISC", "inherited"): 2})
+
+
+def brute_licenses(files):
+    """(licence, via) of each file (path, text), with every unit compared with every template."""
+    import math
+    import os
+
+    import regex
+
+    from cloakframe.llm import license_scan as L
+
+    terms = lambda x: regex.findall(r"[\p{L}\p{N}]+", x.lower())
+    vocabulary = {t for _, x in L.TEMPLATES + L.BLOCKS for t in terms(x)}
+    df = Counter(t for _, x in files for t in set(terms(x)) & vocabulary)
+    idf = {t: math.log((len(files) + 1) / (df[t] + 1)) + 1 for t in vocabulary}
+
+    def best(unit, of):
+        known = {t for _, x in of for t in terms(x)}
+        other = sum(idf[t] for t in known) / len(known)
+        weigh = lambda x: {t: n * (idf[t] if t in known else other) for t, n in Counter(terms(x)).items()}
+        size = lambda v: math.sqrt(sum(x * x for x in v.values()))
+        own = weigh(unit)
+        scored = []
+        for name, text in of:
+            w = weigh(text)
+            if own and w:
+                scored.append((-round(sum(own[t] * w.get(t, 0) for t in own) / size(own) / size(w), 6), name))
+        return min(scored) if scored and min(scored)[0] <= -L.SIMILAR else None
+
+    heads, folders = {}, defaultdict(list)
+    for path, text in files:
+        units = [("line", x, L.TEMPLATES) for x in regex.split(r"\r?\n", text) if regex.search(L.CUE, x.lower())]
+        if regex.search(L.BLOCK_CUE, text.lower()):
+            flat = regex.sub(r"\r\n?", "\n", text)
+            comment = L._COMMENT
+            apart = regex.sub(rf"(?m)^({comment}.*)\n(?!{comment})", r"\1\n\n", flat)
+            apart = regex.sub(rf"(?m)^(?!{comment})(.+)\n(?={comment})", r"\1\n\n", apart)
+            units += [("paragraph", x, L.BLOCKS) for x in regex.split(r"\n(?:[^\p{L}\p{N}\n]*\n)+", apart)]
+            lead = regex.search(rf"\A(?:#!.*\n)?\s*(/\*(?s:.*?)\*/|(?:{comment}.*(?:\n|\Z))+)", flat)
+            units += [("comment", lead.group(1) if lead else "", L.BLOCKS), ("file", flat, L.BLOCKS)]
+            units = [u for u in units if u[0] == "line" or (regex.search(L.BLOCK_CUE, u[1].lower()) and (u[0] != "file" or regex.search(L.FILE_CUE, u[1].lower())))]
+        found = [(kind, len(terms(x)), *hit) for kind, x, of in units if (hit := best(x, of))]
+        found += [("tag", len(terms(x)) + 3, -1.0, x) for x in regex.findall(L.SPDX, text)]
+        if found:
+            heads[path] = min(f[2:] for f in found)
+            words_ = Counter()
+            for kind, n, _, _ in found:
+                words_[kind] += n
+            if max(words_.values()) >= L.FILE_SHARE * len(terms(text)):
+                folders[os.path.dirname(path)].append((heads[path][0], path, heads[path][1]))
+    out = {}
+    for path, _ in files:
+        out[path] = (heads[path][1], "header") if path in heads else (None, None)
+        folder = os.path.dirname(path)
+        while path not in heads:
+            if folder in folders:
+                out[path] = (min(folders[folder])[2], "inherited")
+                break
+            if not folder:
+                break
+            folder = os.path.dirname(folder)
+    return out
+
+
+def test_licenses_equal_brute_force(spark):
+    from cloakframe.llm import license_scan as L
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    files = [(f"{r.source}/{r.lang}/{r.doc_id}", r.text) for r in docs]
+    rng = np.random.default_rng(17)
+    prose = lambda n: " ".join(rng.choice(["step", "value", "return", "other", "copy", "code", "free"], n))
+    for k, (_, text) in enumerate(L.TEMPLATES + L.BLOCKS):
+        w = text.split()
+        wrapped = "\n".join("# " + " ".join(w[i : i + 9]) for i in range(0, len(w), 9))
+        files += [(f"d{k}/LICENSE", text), (f"d{k}/sub/a.py", prose(40)), (f"e{k}/b.py", wrapped + "\n" + prose(60)), (f"e{k}/c.py", prose(30) + "\n\n" + " ".join(w[: 3 * len(w) // 4]) + "\n\n" + prose(30))]
+    frame_ = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(files)], "doc_id long, path string, text string")
+    got = {r.path: (r.license, r.via) for r in scan(frame_).collect()}
+    expected = brute_licenses(files)
+    assert {p: (got[p], expected[p]) for p in got if got[p] != expected[p]} == {}
+    assert sum(v[1] == "inherited" for v in got.values()) > 20
