@@ -79,11 +79,12 @@ def privacy_gate(ranked: DataFrame, source: int, least_universe: int = 20, fail_
 
 
 def period(ts: Column, now: Column) -> Column:
-    """The quarter and how long ago it was; [PERIOD DATE] for what is no date."""
-    months = (F.year(now) - F.year(ts)) * 12 + F.month(now) - F.month(ts)
-    years = F.floor(months / 12)
-    ago = F.when(months <= 0, "current period").when(months < 12, F.format_string("%d months ago", months)).when(years == 1, "prior year").otherwise(F.format_string("%d years ago", years))
-    return F.coalesce(F.format_string("Q%d %d (%s)", F.quarter(ts), F.year(ts), F.when(ts.isNotNull(), ago)), F.lit("[PERIOD DATE]"))
+    """The quarter and how long ago it was, by calendar years and months; [PERIOD DATE] for what is no date."""
+    years = F.year(now) - F.year(ts)
+    months = years * 12 + F.month(now) - F.month(ts)
+    within = F.when(months == 1, "1 month ago").otherwise(F.format_string("%d months ago", months))
+    ago = F.when(months <= 0, "current period").when(years == 0, within).when(years == 1, "prior year").otherwise(F.format_string("%d years ago", years))
+    return F.when(ts.isNotNull(), F.format_string("Q%d %d (%s)", F.quarter(ts), F.year(ts), ago)).otherwise("[PERIOD DATE]")
 
 
 def flattened(json: Column) -> Column:

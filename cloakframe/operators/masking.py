@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .residual import finder
+
 #: Words that are masked only as whole words, besides values of up to two characters.
 COMMON = frozenset("A AN THE AND OR BUT FOR NOT IN ON AT TO BY OF WITH AS IS IT BE DO GO SO UP NO IF AM ME MY US WE HE SHE".split())
 #: How specific a form is, for ties of priority and length.
@@ -110,16 +112,27 @@ def forms(alias: Alias) -> list[Form]:
     return [Form(alias.alias_id, kind, pattern, alias.by or "[REDACTED]", base + more, alias.policy == "case_insensitive") for kind, pattern, more in found]
 
 
+def core(value: str) -> str:
+    """What stands in every form of a value, but for case: its longest run of letters, or of ten digits at most; leading zeros
+    may be missing, and digits may be cut apart behind the tenth and the twelfth."""
+    runs = [r for r in re.split(r"[\W_]+", value.lstrip("0")) if r]
+    best = max(runs, key=len, default="")
+    return best[: max(0, 10 - (len(value) - len(value.lstrip("0"))))] if best.isdigit() else best
+
+
 def masker(aliases: list[Alias]) -> Callable[[str | None], tuple[str | None, list[tuple[int, int, str, str]], int]]:
     """T04 to T06 for one text: (masked text, accepted (start, end, alias, form), how many spans were rejected).
 
     Of overlapping spans that with the greater priority stays, then the longer, the more specific, the earlier, the smaller
     alias id. Matches that begin or end within a placeholder do not count; empty matches neither."""
-    compiled = [(f, re.compile(f.pattern, re.IGNORECASE if f.insensitive else 0)) for a in aliases for f in forms(a)]
+    every = [(a, f) for a in aliases for f in forms(a)]
+    compiled = [(f, re.compile(f.pattern, re.IGNORECASE if f.insensitive else 0)) for _, f in every]
+    find = finder([(core(a.value),) for a, _ in every])
 
     def run(text: str | None):
         if not text:
             return text, [], 0
+        present = [compiled[i] for i in sorted(find(text))]
         masks = [m.span() for m in PLACEHOLDER.finditer(text)]
         starts = [s for s, _ in masks]
 
@@ -127,7 +140,7 @@ def masker(aliases: list[Alias]) -> Callable[[str | None], tuple[str | None, lis
             i = bisect.bisect_right(starts, at) - 1
             return i >= 0 and masks[i][0] <= at < masks[i][1]
 
-        found = {(-f.priority, m.start() - m.end(), -SPECIFIC.get(f.kind, 0), m.start(), f.alias_id, m.end(), f.kind, f.by) for f, p in compiled for m in p.finditer(text) if m.end() > m.start() and not inside(m.start()) and not inside(m.end() - 1)}
+        found = {(-f.priority, m.start() - m.end(), -SPECIFIC.get(f.kind, 0), m.start(), f.alias_id, m.end(), f.kind, f.by) for f, p in present for m in p.finditer(text) if m.end() > m.start() and not inside(m.start()) and not inside(m.end() - 1)}
         kept: list[tuple[int, int, str, str, str]] = []  # by start; none overlap
         for _, _, _, start, alias, end, kind, by in sorted(found):
             i = bisect.bisect_left(kept, (start,))

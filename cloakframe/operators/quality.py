@@ -115,12 +115,16 @@ def band(score: Column) -> Column:
     return F.when(score >= 0.75, "CRITICAL").when(score >= 0.55, "HIGH").when(score >= 0.35, "MEDIUM").otherwise("LOW")
 
 
+#: Suffixes of companies' names, as they stand between blanks before and, some, behind.
+LEGAL_SUFFIXES = (" INC ", " LLC ", " CORP ", " CORPORATION", " HOLDINGS", " PARTNERS", " GROUP", " LIMITED", " LP", " PLC")
+
+
 def risk(value: Column, confidence: Column, providers: Column, occurrences: Column, registered: Column, missed: Column) -> Column:
     """Risk of a candidate, 0 to 1: confidence, agreement, frequency, registration and the shape of the value."""
     upper = F.upper(value)
     padded = F.concat(F.lit(" "), upper, F.lit(" "))
     shaped = ((F.length(upper) <= 5) & upper.rlike("[A-Z]") & upper.rlike("[^A-Z]")) | upper.rlike(r"\.(COM|ORG|NET)$")
-    legal = padded.rlike(r" (INC|LLC|CORP) | (CORPORATION|HOLDINGS|PARTNERS|GROUP|LIMITED|LP|PLC)")
+    legal = padded.rlike("|".join(LEGAL_SUFFIXES))
     proper = value.rlike(r"^\p{Lu}") & value.rlike(r"\p{Ll}")
     add = lambda c, v: F.when(c, F.lit(v)).otherwise(F.lit(0.0))
     total = confidence * 0.4 + (providers - 1) * 0.1 + F.least(occurrences * 0.02, F.lit(0.15)) + add(registered, 0.1) + add(missed, 0.2) + add(shaped, 0.15) + add(legal, 0.1) + add(proper, 0.1)

@@ -192,7 +192,8 @@ SQL = {
     "w23_pseudonyms": "WITH o AS (SELECT p_brand AS kind, lower(trim(p_name)) AS key, min(p_name) AS value FROM part GROUP BY ALL) SELECT *, printf('%s_%03d', upper(regexp_replace(kind, '[^A-Za-z0-9]', '', 'g')), row_number() OVER (PARTITION BY kind ORDER BY key)) AS pseudonym FROM o",
     "m02_histogram_cosine": "WITH v AS (SELECT 'a' AS side, o_totalprice AS value FROM orders UNION ALL SELECT 'b', l_extendedprice FROM lineitem), h AS (SELECT least(99, greatest(0, CAST(floor(log10(value)) AS INTEGER))) AS bucket, count(*) FILTER (WHERE side = 'a') AS a, count(*) FILTER (WHERE side = 'b') AS b FROM v WHERE value > 0 GROUP BY ALL) SELECT round(coalesce(CAST(sum(a * b) AS DOUBLE) / nullif(sqrt(CAST(sum(a * a) AS DOUBLE)) * sqrt(CAST(sum(b * b) AS DOUBLE)), 0), 0.0), 6) AS cosine FROM h",
     "m04_size_bins": "SELECT CASE WHEN o_totalprice * 1e5 < 0 THEN 'negative' WHEN o_totalprice * 1e5 < 1e9 THEN 'small' WHEN o_totalprice * 1e5 < 1e10 THEN 'medium' WHEN o_totalprice * 1e5 < 1e11 THEN 'large' ELSE 'mega' END AS bin, count(*) AS n FROM orders GROUP BY ALL",
-    "e01_periods": "WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d, (1998 - year(o_orderdate)) * 12 + 8 - month(o_orderdate) AS m FROM orders) SELECT 'Q' || quarter(d) || ' ' || year(d) || ' (' || CASE WHEN m <= 0 THEN 'current period' WHEN m < 12 THEN m || ' months ago' WHEN m // 12 = 1 THEN 'prior year' ELSE (m // 12) || ' years ago' END || ')' AS period, count(*) AS n FROM o GROUP BY ALL",
+    "e01_periods": """WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d, 1998 - year(o_orderdate) AS y, (1998 - year(o_orderdate)) * 12 + 8 - month(o_orderdate) AS m FROM orders)
+        SELECT 'Q' || quarter(d) || ' ' || year(d) || ' (' || CASE WHEN m <= 0 THEN 'current period' WHEN y = 0 THEN CASE WHEN m = 1 THEN '1 month ago' ELSE m || ' months ago' END WHEN y = 1 THEN 'prior year' ELSE y || ' years ago' END || ')' AS period, count(*) AS n FROM o GROUP BY ALL""",
     "h04_flatten": "WITH k AS (SELECT event_id, props, unnest(json_keys(props)) AS path FROM events) SELECT event_id, path, json_extract_string(props, '$.' || path) AS leaf FROM k",
     "j05_orphans": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
     "j12_completeness": "SELECT doc_id AS key, 'missing' AS issue FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents) UNION ALL SELECT DISTINCT doc_id, 'unexpected' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import documents, release, series
+from . import documents, privacy, release, series
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**series.QUERIES, **documents.QUERIES, **release.QUERIES}
-ORACLE_SQL: dict[str, str] = {**series.SQL, **documents.SQL, **release.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**series.QUERIES, **documents.QUERIES, **release.QUERIES, **privacy.QUERIES}
+ORACLE_SQL: dict[str, str] = {**series.SQL, **documents.SQL, **release.SQL, **privacy.SQL}
 FLAGSHIP = "x05_s3b_weekly"
