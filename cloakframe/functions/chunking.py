@@ -71,7 +71,7 @@ def by_section(text: str, sections: Sequence[dict], size: int, overlap: int) ->
         return [(a, b, "") for a, b in by_paragraph(text, size, overlap)]
     out = []
     for s in sections:
-        first, last = s.get("char_start") or 0, len(text) if s.get("char_end") is None else s["char_end"]
+        first, last = (default if s.get(n) is None or s[n] != s[n] else int(s[n]) for n, default in (("char_start", 0), ("char_end", len(text))))  # pandas makes nulls nan
         out += [(first + a, first + b, s.get("title") or "") for a, b in by_paragraph(text[first:last], size, overlap)]
     return out
 

@@ -199,6 +199,10 @@ def header_facts(filings: DataFrame, text_col: str = "text", id_col: str = "doc_
     one = {
         "filing_header": r"(?i)COMPANY CONFORMED NAME:\s*([^\r\n]+)", "cik": r"(?i)CENTRAL INDEX KEY:\s*(\d+)", "accession": r"(\d{10}-\d{2}-\d{6})", "ein": r"(?i)IRS NUMBER:\s*(\d+)",
     }
-    found = [F.transform(F.regexp_extract_all(top, F.lit(p), F.lit(1)), lambda v, n=name: F.struct(F.lit(n).alias("source"), F.trim(v).alias("value"))) for name, p in one.items()]
-    found.append(F.transform(F.regexp_extract_all(more, F.lit(r"<((?:us-gaap|dei|srt|ix|xbrli):[A-Za-z0-9]+)"), F.lit(1)), lambda v: F.struct(F.lit("xbrl_concept").alias("source"), v.alias("value"))))
+
+    def of(part: Column, name: str, pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all(part, F.lit(pattern), F.lit(1)), lambda v: F.struct(F.lit(name).alias("source"), F.trim(v).alias("value")))
+
+    found = [of(top, name, pattern) for name, pattern in one.items()]
+    found.append(of(more, "xbrl_concept", r"<((?:us-gaap|dei|srt|ix|xbrli):[A-Za-z0-9]+)"))
     return filings.select(F.col(id_col).alias("doc_id"), F.inline(F.array_distinct(F.concat(*found))))

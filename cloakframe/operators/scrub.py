@@ -84,9 +84,9 @@ def model_scrub(rows: DataFrame, registry: Sequence, text_col: str = "text") ->
         joined = "|".join(sorted(set(patterns), key=lambda p: (-len(p), p)))
         text = F.regexp_replace(text, f"(?i)(?:{joined})", _by(tag))
     out = rows.withColumn(text_col, structural(text))
-    found = residual.scan_result(residual.hits(F.col(text_col), residual.exact_patterns((a.kind, a.value) for a in registry)))
+    out = out.withColumn("precheck", residual.hits(F.col(text_col), residual.exact_patterns((a.kind, a.value) for a in registry)))
     status = F.when(F.col("precheck.is_blocked"), "BLOCKED_PRECHECK").otherwise("PRECHECK_PASS")
-    return out.withColumn("precheck", found).withColumn("precheck_status", status)
+    return out.withColumn("precheck", residual.scan_result(F.col("precheck"))).withColumn("precheck_status", status)
 
 
 def submission_scrub(text: Column, private: Sequence[tuple[str, str]] = ()) -> Column:

@@ -12,7 +12,7 @@ import zipfile
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The files of a dossier, and what its JSON may not name.
@@ -73,7 +73,12 @@ def write_features(df: DataFrame, path: str, period: str, forbidden: Sequence[st
     bad = [c for c in columns for f in forbidden if f.lower() in c.lower()]
     strings = [c for c, t in df.dtypes if t == "string"]
     if forbidden and strings:
-        found = df.agg(*[F.max(F.exists(F.array(*[F.lit(f.lower()) for f in forbidden]), lambda v, c=c: F.contains(F.lower(F.col(f"`{c}`")), v))).alias(c) for c in strings]).first()
+        parts = F.array(*[F.lit(f.lower()) for f in forbidden])
+
+        def held(c: str) -> Column:
+            return F.max(F.exists(parts, lambda v: F.contains(F.lower(F.col(f"`{c}`")), v))).alias(c)
+
+        found = df.agg(*[held(c) for c in strings]).first()
         bad += [c for c in strings if found[c]]
     if bad:
         raise ValueError(f"forbidden parts in {sorted(set(bad))}")
