@@ -36,6 +36,8 @@ from .components import components
 from .shared import materialize, small, text_blocks, trimmed, utf8_column
 
 GROUP = 2048
+#: Classes of equal sets that are dealt in parts, at most: those with over a HOTth of all rows.
+HOT = 10_000
 #: The table of frequent shingles: at most so many, each counted this often in one batch and in all.
 FREQUENT, IN_BATCH, IN_ALL = 1 << 17, 4, 32
 #: Threshold below which sets without a partner are left out first; shingles of one range in that step.
@@ -351,7 +353,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         raise ValueError("threshold must be in 50..100")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sizes = materialize(texts.mapInArrow(trimmed(_sizes(shingle)), "doc_id long, n long, hi long, lo long"), "sets")
-    classes = materialize(sizes.filter("n > 0 and doc_id is not null").groupBy("hi", "lo").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n")), "classes")
+    classes = materialize(sizes.filter("n > 0 and doc_id is not null").groupBy("hi", "lo").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.count("*").alias("copies")), "classes")
     counted = {r["n"]: r["c"] for r in classes.filter(F.col("n") <= LIGHT_MOST).groupBy("n").agg(F.count("*").alias("c")).collect()}
     partners = texts.filter("doc_id is not null")
     if threshold < RARE_BELOW:
@@ -383,7 +385,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = spread.groupBy("group", "i", "j").applyInPandas(_links(threshold), "a long, b long")
     reached = classes.join(components(links).select(F.col("id").alias("hi"), "component"), "hi").select("hi", "lo", "doc", "component")
     smallest = reached.groupBy("component").agg(F.min("doc").alias("c"))
-    of_class = classes.join(reached.join(smallest, "component").select("hi", "lo", "c"), ["hi", "lo"], "left").select("hi", "lo", F.coalesce("c", "doc").alias("c"))
-    return sizes.join(of_class, ["hi", "lo"], "left").select(
+    of_class = classes.join(reached.join(smallest, "component").select("hi", "lo", "c"), ["hi", "lo"], "left").select("hi", "lo", "copies", F.coalesce("c", "doc").alias("c"))
+    # a class with very many copies is dealt in parts, so no task holds all of them; HOT classes at most have more than one
+    most = max(1000, (classes.agg(F.sum("copies")).first()[0] or 0) // HOT)
+    parts = F.ceil(F.col("copies") / most)
+    hot = F.broadcast(materialize(classes.filter(F.col("copies") > most).select("hi", "lo", parts.alias("parts")), "hot-classes"))
+    dealt = sizes.join(hot, ["hi", "lo"], "left").withColumn("part", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.coalesce("parts", F.lit(1))))
+    every = of_class.select("hi", "lo", "c", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(parts, F.lit(1)).cast("long") - 1)).alias("part"))
+    return dealt.join(every, ["hi", "lo", "part"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("c")).otherwise(F.col("doc_id"))).alias("component_id")
     )

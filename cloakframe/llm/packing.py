@@ -22,7 +22,7 @@ from .bytehash import LONG, LOWER, RangeHash, chunks, mix, words
 from .shared import materialize, small, text_blocks, trimmed, utf8_column
 
 #: Runs of which a worker keeps the tokens.
-WORDS = 1_000_000
+WORDS = 600_000
 
 
 _LETTER = np.zeros(256, bool)
