@@ -50,10 +50,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     without words is its own component and stays once."""
     rows = keyed(docs)
     found = jaccard_join.jaccard_components(rows, id_col="row", shingle=5, threshold=80).select(F.col("doc_id").alias("row"), "component_id")
+    found = materialize(found, "components")
     several = found.filter("component_id <> row").select("component_id").distinct()
     members = found.distinct().join(small(materialize(several, "groups")), "component_id")
     members = members.join(rows.select("row", "doc_id").distinct(), "row")
     best = members.groupBy("component_id").agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best"))
+    best = small(materialize(best, "first-of-group"))  # a large group's members stay where they are
     gone = materialize(members.join(best, "component_id").filter("row <> best").select("row"), "duplicates")
     left = without(docs, gone)
     # rows equal in id and text: few, and only these are shuffled
