@@ -115,4 +115,23 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         WHERE rank <= 20""",
+    # windows of 100 bytes as hexadecimal text; a window that stands earlier too marks its bytes
+    "op4_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        w AS (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS s FROM d),
+        r AS (SELECT doc_id, s FROM (SELECT doc_id, s, md5(substr(h, 2 * s + 1, 200)) AS m FROM w) QUALIFY row_number() OVER (PARTITION BY m ORDER BY doc_id, s) > 1),
+        i AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS n FROM (SELECT *, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 100 THEN 0 ELSE 1 END AS fresh FROM r)),
+        p AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM i GROUP BY doc_id, n),
+        g AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM p),
+        k AS (SELECT g.doc_id, sum(b - a) AS removed, count(*) AS spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept FROM g JOIN d USING (doc_id) GROUP BY g.doc_id)
+        SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+        FROM d LEFT JOIN k ON k.doc_id = d.doc_id""",
+    # every pair of documents that share a shingle, and what links reach
+    "op5_jaccard_join": """
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s FROM w),
+        t AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+        reach(a, b) AS (SELECT a, b FROM p UNION SELECT reach.a, p.b FROM reach JOIN p ON reach.b = p.a)
+        SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(c, s.doc_id)) AS component_id FROM s LEFT JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = s.doc_id""",
 }

@@ -770,3 +770,31 @@ def test_licenses_equal_brute_force(spark):
     expected = brute_licenses(files)
     assert {p: (got[p], expected[p]) for p in got if got[p] != expected[p]} == {}
     assert sum(v[1] == "inherited" for v in got.values()) > 20
+
+
+@pytest.mark.parametrize("name", ["op1_topk_search", "op4_suffix_dedup", "op5_jaccard_join"])
+def test_queries_equal_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    from cloakframe.llm import queries
+
+    con = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    got, expected = queries.QUERIES[name](spark, SF), con.sql(queries.ORACLE_SQL[name])
+    assert sorted(got.columns) == sorted(expected.columns)
+    order = [expected.columns.index(c) for c in got.columns]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r[i] for i in order) for r in expected.fetchall())
+
+
+@pytest.mark.parametrize("module", ["jaccard_join", "suffix_dedup"])
+def test_plans_without_broadcasts(spark, monkeypatch, module):
+    """The joins of large inputs: sides over the bound are shuffled, with the same result."""
+    import importlib
+
+    monkeypatch.setattr(importlib.import_module(f"cloakframe.llm.{module}"), "small", lambda df, rows=None: df)
+    if module == "jaccard_join":
+        texts = similar_texts(5)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(frame(spark, texts), shingle=5, threshold=80).collect()}
+        assert got == brute_jaccard(texts, 5, 80)
+    else:
+        test_repeats_of_repeated_ids(spark)
