@@ -47,7 +47,10 @@ def structured_attacks(pairs: DataFrame) -> DataFrame:
 
 
 #: The ordinals of the labels; any other label counts as 1.
-ORDINALS = {"VERY_LOW": 0, "LOW": 1, "MEDIUM": 2, "HIGH": 3, "VERY_HIGH": 4, "DOWN": 0, "FLAT": 1, "UP": 2, "BELOW": 0, "NEUTRAL": 1, "CROSSED": 1, "ABOVE": 2, "SHORT": 0, "MODERATE": 1, "PERSISTENT": 2}
+ORDINALS = {
+    "VERY_LOW": 0, "LOW": 1, "MEDIUM": 2, "HIGH": 3, "VERY_HIGH": 4, "DOWN": 0, "FLAT": 1, "UP": 2, "BEARISH": 0, "BULLISH": 2, "BELOW": 0, "CROSSED": 1, "ABOVE": 2,
+    "SHORT": 0, "MODERATE": 1, "PERSISTENT": 2, "STRONG_DOWN": 0, "MILD_DOWN": 1, "NEUTRAL": 2, "MILD_UP": 3, "STRONG_UP": 4,
+}
 
 
 def ordinal(label):

@@ -172,3 +172,67 @@ def test_guards(tmp_path, monkeypatch):
     packages.write_bytes(tmp_path / "c.yaml", b"companies: {C1: {ticker: A}}")
     with pytest.raises(ValueError, match="identity"):
         packages.load_companies(config)
+
+
+def run(*argv, capsys=None):
+    from cloakframe.__main__ import main
+
+    code = main(list(map(str, argv)))
+    return code, capsys.readouterr().out if capsys else ""
+
+
+def prices(folder, name, closes):
+    rows = [{"date": f"d{i}", "open": c, "high": c * 1.01, "low": c * 0.99, "close": c, "volume": 10 + i % 7} for i, c in enumerate(closes)]
+    packages.write_json(folder / name, {"records": rows})
+
+
+def test_command_line_over_texts(spark, tmp_path, capsys):
+    from tests.test_privacy import YAML
+
+    reg = packages.write_bytes(tmp_path / "r.yaml", YAML.split("  - {alias_id: 4")[0].encode())
+    bad = packages.write_bytes(tmp_path / "bad.yaml", b"entities: []")
+    html, text = tmp_path / "html", tmp_path / "text"
+    packages.write_bytes(html / "a.html", b"<p>Acme's plan, CIK 0000320193</p><h2>Item 1. Business</h2><p>We sell.</p>")
+    packages.write_bytes(text / "a.md", b"Acme Corp sells, call (212) 555-0123")
+    assert run("registry-validate", reg, capsys=capsys)[0] == 0 and run("registry-validate", bad, capsys=capsys)[0] == 2 and run("registry-inventory", reg)[0] == 0
+    assert run("scan", text, reg)[0] == 3 and run("mask", text, bad)[0] == 2 and run("mask", text, reg, "--output", tmp_path / "m")[0] == 0
+    assert spark.read.parquet(str(tmp_path / "m")).first().text == "Company 001 sells, call (212) 555-0123" or "Acme" not in spark.read.parquet(str(tmp_path / "m")).first().text
+    for command in ("atlas-harvest", "discover", "chunk", "ingest", "submission"):
+        assert run(command, text, "--output", tmp_path / command)[0] == 0, command
+    assert run("extract", html, "--output", tmp_path / "x")[0] == 0 and spark.read.parquet(str(tmp_path / "x")).filter("item = 'Item 1'").count() == 1
+    code, out = run("reanonymize-run", html, reg, tmp_path / "work", capsys=capsys)
+    assert code == 0 and json.loads(out.strip().splitlines()[-1])["decision"] == "PASS" and json.loads((tmp_path / "work" / "decision.json").read_text())["stages_run"] == ["extract", "mask"]
+    assert run("reanonymize-run", html, reg, tmp_path / "work")[0] == 0 and json.loads((tmp_path / "work" / "decision.json").read_text())["stages_run"] == []
+    assert run("reanonymize-run", html, bad, tmp_path / "none")[0] == 2 and json.loads((tmp_path / "none" / "decision.json").read_text())["decision"] == "FAIL"
+    assert run("release-export", text, tmp_path / "o.zip", reg)[0] == 3 and run("registry-validate", tmp_path / "nowhere")[0] == 2
+    assert run("boundary-diag", tmp_path / "p", tmp_path / "q")[0] == 0 and run("boundary-diag", tmp_path, tmp_path)[0] == 2 and run("campaign", bad)[0] == 2
+    atlas = packages.write_json(tmp_path / "atlas.json", {"entries": [{"entry_id": "1", "category": "issuer", "sub_type": "ticker", "private_value": "ABC"}]})
+    assert run("identities-compile", atlas)[0] == 2
+
+
+def test_command_line_over_series(spark, tmp_path, capsys):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    folder, other = tmp_path / "prices", tmp_path / "masked"
+    for i in range(12):
+        prices(folder, f"p{i}.json", (100 * np.exp(np.cumsum(rng.normal(0, 0.02, 300)))).tolist())
+    prices(other, "p0.json", (100 * np.exp(np.cumsum(rng.normal(0, 0.02, 300)))).tolist())
+    assert run("structured-transform", folder, "s1", "--output", tmp_path / "s1")[0] == 0 and run("structured-transform", folder, "zz")[0] == 2
+    assert run("s3-transform", folder, "s3a")[0] == 5 and run("s3-transform", folder, "s3b", "--output", tmp_path / "s3b")[0] == 0
+    assert run("s3-attack", folder, "s3b", "nobody")[0] == 2 and run("attack-run", folder, folder)[0] == 3 and run("utility-evaluate", folder, other)[0] == 0
+    policy = packages.write_json(tmp_path / "policy.json", {"required_attack_keys": ["exact/all"]})
+    assert run("pilot-run", folder, "s3b", "p0.json", policy, tmp_path / "pilot")[0] == 2  # the suite holds more than the policy asks for
+    from cloakframe.operators.sequences import SUITE
+
+    policy = packages.write_json(tmp_path / "policy.json", {"required_attack_keys": list(SUITE)})
+    code, out = run("pilot-run", folder, "s3b", "p0.json", policy, tmp_path / "pilot", capsys=capsys)
+    decision = json.loads((tmp_path / "pilot" / "decision.json").read_text())
+    assert code == 3 and decision["decision"] == "FAIL" and decision["reasons"] == ["source near the top"]
+    assert run("s3-assess", tmp_path / "pilot" / "evidence.jsonl", "s1_basic", policy)[0] == 5
+    truth = packages.write_json(tmp_path / "truth.json", {"period_returns": [0.1, -0.1, 0.2]})
+    good, bad = packages.write_json(tmp_path / "g.json", {"relative_periods": [0, 1, 2], "binary_actions": [1, 0, 1]}), packages.write_json(tmp_path / "b.json", {"relative_periods": [1, 1], "binary_actions": [2, 0]})
+    assert run("evaluate-submission", good, truth)[0] == 0 and run("evaluate-submission", bad, truth)[0] == 2
+    rows = packages.write_lines(tmp_path / "a.jsonl", [{"release_id": "r", "variant": "s1_basic"}])
+    assert run("release-assess", rows)[0] == 5 and run("release-assess", packages.write_lines(tmp_path / "b.jsonl", [{"release_id": "r"}]))[0] == 3
+    assert run("classroom-build", tmp_path / "s3b", tmp_path / "class")[0] == 0 and run("numeric-package", "abc")[0] == 0
