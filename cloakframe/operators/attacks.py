@@ -37,13 +37,32 @@ def path_similarity(pairs: DataFrame, window: int = 20) -> DataFrame:
     return rolled.groupBy("entity_id").agg(F.round(pearson("vra", "vrb"), 6).alias("volatility_similarity"), F.round(pearson("da", "db"), 6).alias("drawdown_similarity"))
 
 
-def structured_attacks(pairs: DataFrame) -> DataFrame:
-    """Direct, lagged and path similarities of (entity_id, bar_idx, a, b, ra, rb); blocked if any is over its threshold."""
+def structured_attacks(pairs: DataFrame, ranked: DataFrame | None = None, top_k: int = 10) -> DataFrame:
+    """Direct, lagged and path similarities of (entity_id, bar_idx, a, b, ra, rb); blocked if any is over its threshold.
+
+    ranked: (entity_id, rank) of each masked series' source among the candidates; a rank up to `top_k` blocks too, and so does
+    one that is not there."""
     direct = pairs.groupBy("entity_id").agg(F.round(pearson("ra", "rb"), 6).alias("direct"))
     lagged = lagged_correlation(pairs.select("entity_id", "bar_idx", F.col("ra").alias("a"), F.col("rb").alias("b")))
     out = direct.join(lagged, "entity_id").join(path_similarity(pairs), "entity_id")
     late = F.greatest(*[c for c in lagged.columns if c != "entity_id"]) > 0.8
-    return out.withColumn("blocked", (F.col("direct") > 0.9) | late | (F.col("volatility_similarity") > 0.85) | (F.col("drawdown_similarity") > 0.85))
+    blocked = (F.col("direct") > 0.9) | late | (F.col("volatility_similarity") > 0.85) | (F.col("drawdown_similarity") > 0.85)
+    if ranked is None:
+        return out.withColumn("blocked", blocked)
+    out = out.join(ranked.select("entity_id", "rank"), "entity_id", "left")
+    return out.withColumn("blocked", blocked | F.coalesce(F.col("rank") <= top_k, F.lit(True)))
+
+
+def masked_ranks(masked: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(entity_id, rank): of each masked series (entity_id, bar_idx, ret) the rank of the candidate of its id among all
+    candidates (entity_id, bar_idx, ret) by absolute correlation; ties by id.
+
+    Ranks are counted, not sorted: candidates ahead of the source are one aggregate for each series."""
+    other = candidates.select(F.col("entity_id").alias("candidate"), "bar_idx", F.col("ret").alias("own"))
+    score = masked.join(other, "bar_idx").groupBy("entity_id", "candidate").agg(F.round(F.abs(pearson("ret", "own")), 6).alias("score"))
+    source = score.filter(F.col("candidate") == F.col("entity_id")).select("entity_id", F.col("score").alias("source"))
+    ahead = (F.col("score") > F.col("source")) | ((F.col("score") == F.col("source")) & (F.col("candidate") < F.col("entity_id")))
+    return score.join(source, "entity_id").groupBy("entity_id").agg((F.count_if(ahead) + 1).alias("rank"))
 
 
 #: The ordinals of the labels; any other label counts as 1.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -81,10 +83,14 @@ def exact(a: Column, b: Column) -> Column:
     return F.when(n > 0, F.size(F.filter(same, lambda x: x)) / n).otherwise(F.lit(0.0))
 
 
-def hamming(a: Column, b: Column) -> Column:
-    """Mean distance of ordinals over 4; 1 if there are no places."""
+def hamming(a: Column, b: Column, weights: Mapping[str, float] | None = None) -> Column:
+    """Mean distance of ordinals over 4, each weighed by a's state (1 if it has no weight); 1 if there are no places."""
     n = _aligned(a, b)
-    gaps = F.zip_with(F.slice(ordinals(a), 1, n), F.slice(ordinals(b), 1, n), lambda x, y: F.abs(x - y) / 4)
+    first = F.slice(a, 1, n)
+    gaps = F.zip_with(ordinals(first), F.slice(ordinals(b), 1, n), lambda x, y: F.abs(x - y) / 4)
+    if weights:
+        table = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])
+        gaps = F.zip_with(gaps, F.transform(first, lambda x: F.coalesce(F.try_element_at(table, x), F.lit(1.0))), lambda g, w: g * w)
     return F.when(n > 0, F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x) / n).otherwise(F.lit(1.0))
 
 

@@ -533,6 +533,15 @@ SQL = {
         c AS (SELECT doc_id, lower(array_to_string(r, ' ')) AS phrase FROM g WHERE len(list_filter(r, lambda x: regexp_matches(x, '^\\p{{Lu}}'))) > 0), a AS (SELECT phrase, count(*) AS n, count(DISTINCT doc_id) AS df FROM c GROUP BY phrase),
         s AS (SELECT *, string_split(phrase, ' ') AS w, (SELECT count(*) FROM d) AS documents FROM a WHERE NOT list_contains({_list(phrases.split_values(PRIVATE)[0])}, phrase)), o AS (SELECT {_tiers()} AS tier, n FROM s)
         SELECT tier, tier IN ('product_or_platform_phrase', 'raw_direct_identifier', 'company_specific_business_phrase') AS blocking, count(*) AS phrases, CAST(sum(n) AS BIGINT) AS n FROM o GROUP BY ALL""",
+    "x13_retrieval_attack": """WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS t FROM documents), st AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM w), q AS (SELECT term, count(*) AS qtf FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS term FROM benchmark WHERE item_id < 3) GROUP BY ALL),
+        p AS (SELECT doc_id, len, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS len, unnest(t) AS term FROM w) WHERE term IN (SELECT term FROM q) GROUP BY ALL), f AS (SELECT term, count(*) AS df FROM p GROUP BY ALL),
+        s AS (SELECT doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len / mean)) * qtf), 4) AS score FROM q JOIN f USING (term) JOIN p USING (term) CROSS JOIN st GROUP BY ALL),
+        k AS (SELECT doc_id, CAST(row_number() OVER (ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s), b AS (SELECT min(rank) FILTER (WHERE doc_id = 1) AS found FROM k WHERE rank <= 10)
+        SELECT (SELECT count(*) FROM documents) AS corpus, coalesce(found, -1) AS source_rank, false AS vacuous, found IS NULL AS passed FROM b""",
+    "t27_paragraph_chunks": """WITH RECURSIVE c(doc_id, text, a, b) AS (
+            SELECT doc_id, text, 0, CASE WHEN length(text) <= 1500 THEN length(text) ELSE 1500 + length(regexp_extract(substr(text, 1501), '^[ \\t\\n\\r]*[^ \\t\\n\\r]*')) END FROM documents WHERE length(text) > 0
+            UNION ALL SELECT doc_id, text, n, CASE WHEN n + 1500 >= length(text) THEN length(text) ELSE n + 1500 + length(regexp_extract(substr(text, n + 1501), '^[ \\t\\n\\r]*[^ \\t\\n\\r]*')) END FROM (SELECT doc_id, text, CASE WHEN b - 150 > a THEN b - 150 ELSE b END AS n, b FROM c) WHERE b < length(text))
+        SELECT doc_id, count(*) AS chunks, CAST(max(b) AS INTEGER) AS last_end, CAST(min(b - a) AS INTEGER) AS least FROM c GROUP BY doc_id""",
     "x14_numeric_attack": """WITH v AS (SELECT o_totalprice AS value, 'a' AS side FROM orders WHERE o_totalprice > 0 UNION ALL SELECT l_extendedprice, 'b' FROM lineitem WHERE l_extendedprice > 0), b AS (SELECT least(99, greatest(0, CAST(floor(log10(value)) AS INTEGER))) AS k, count(*) FILTER (WHERE side = 'a') AS a, count(*) FILTER (WHERE side = 'b') AS b FROM v GROUP BY ALL),
         c AS (SELECT CAST(sum(a) AS BIGINT) AS public_values, CAST(sum(b) AS BIGINT) AS source_values, round(sum(a * b) / (sqrt(sum(a * a)) * sqrt(sum(b * b))), 6) AS cosine FROM b) SELECT *, false AS no_data, cosine <= 0.95 AS passed FROM c""",
     "x17_conditions": f"WITH {cte('assessments')}, {_CONDITIONS} SELECT * FROM conds",

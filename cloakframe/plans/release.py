@@ -205,6 +205,10 @@ SQL = {
     "t31_summary": f"""WITH s AS (SELECT doc_id, text, list_filter(list_transform(string_split(regexp_replace(trim(regexp_replace(text, '[ \\t]+', ' ', 'g')), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: length(x) > 35 AND NOT {_TAX.format('x')}) AS l FROM documents),
         o AS (SELECT doc_id, text, trim(substring(array_to_string(l[1:8], ' '), 1, 2200)) AS out FROM s) SELECT doc_id, CASE WHEN ({_rejection('text')}) IS NULL AND ({_rejection('out')}) IS NULL THEN sha256(out) END AS sha FROM o""",
     "t19_event_types": f"SELECT {_EVENT} AS event, {_CATEGORY} AS category, {_TOPIC} AS topic, count(*) AS n FROM documents GROUP BY ALL",
+    "m06_risk": f"""WITH v AS (SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS value, p_size / 50 AS confidence FROM part), u AS (SELECT *, upper(value) AS u FROM v),
+        s AS (SELECT p_partkey, confidence * 0.4 + least((p_partkey % 10) * 0.02, 0.15) + CASE WHEN p_partkey % 2 = 0 THEN 0.1 ELSE 0.0 END + CASE WHEN (length(u) <= 5 AND regexp_matches(u, '[A-Z]') AND regexp_matches(u, '[^A-Z]')) OR regexp_matches(u, '\\.(COM|ORG|NET)$') THEN 0.15 ELSE 0.0 END
+            + CASE WHEN regexp_matches(' ' || u || ' ', '{"|".join(quality.LEGAL_SUFFIXES)}') THEN 0.1 ELSE 0.0 END + CASE WHEN regexp_matches(value, '^\\p{{Lu}}') AND regexp_matches(value, '\\p{{Ll}}') THEN 0.1 ELSE 0.0 END AS x FROM u),
+        r AS (SELECT p_partkey, round_even(greatest(0.0, least(1.0, x)), 3) AS score FROM s) SELECT p_partkey, score, CASE WHEN score >= 0.75 THEN 'CRITICAL' WHEN score >= 0.55 THEN 'HIGH' WHEN score >= 0.35 THEN 'MEDIUM' ELSE 'LOW' END AS band FROM r""",
     "m05_numbers": f"""WITH m AS (SELECT unnest(regexp_extract_all(text, '{quality.NUMBER}')) AS t FROM documents), p AS (SELECT TRY_CAST(replace(regexp_extract(t, '{quality.NUMBER}', 1), ',', '') AS DOUBLE) AS v, lower(regexp_extract(t, '{quality.NUMBER}', 2)) AS s FROM m),
         x AS (SELECT v * CASE WHEN s = 'k' THEN 1e3 WHEN s IN ('m', 'million') THEN 1e6 WHEN s IN ('b', 'billion') THEN 1e9 ELSE 1.0 END AS v FROM p) SELECT least(99, CAST(floor(log10(v)) AS INTEGER)) AS decade, count(*) AS n, max(v) AS largest FROM x WHERE v >= 1 GROUP BY ALL""",
     "t30_cased_phrases": "WITH w AS (SELECT item_id, regexp_extract_all(text, '[\\p{L}\\p{N}_]+') AS t FROM benchmark), n AS (SELECT item_id, t, unnest(range(3, 8)) AS k FROM w), g AS (SELECT item_id, unnest(list_transform(range(1, len(t) - k + 2), lambda i: t[i:i + k - 1])) AS r FROM n WHERE len(t) >= k), c AS (SELECT item_id, lower(array_to_string(r, ' ')) AS phrase FROM g WHERE len(list_filter(r, lambda x: regexp_matches(x, '^\\p{Lu}'))) > 0) SELECT phrase, count(DISTINCT item_id) AS items, count(*) AS n FROM c GROUP BY ALL",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import series as s
-from ..operators import attacks, governance, utility, variants
+from ..operators import attacks, governance, sequences, utility, variants
 from ..sources.bars import bars, grouped, table
 
 SOURCE = 1  # the entity that attacks look for
@@ -98,6 +98,19 @@ def x08_structured_attacks(spark, sf_dir):
     return attacks.structured_attacks(pairs(spark, sf_dir))
 
 
+def x08_ranked_attacks(spark, sf_dir):
+    """The suite with the ranks of the sources of the masked series (the opens) among all closes."""
+    rows = pairs(spark, sf_dir)
+    side = lambda c: rows.filter("bar_idx > 0").select("entity_id", "bar_idx", F.col(c).alias("ret"))
+    return attacks.structured_attacks(rows, attacks.masked_ranks(side("rb"), side("ra"))).select("entity_id", "direct", "rank", "blocked")
+
+
+def a04_weighted_hamming(spark, sf_dir):
+    rows = sequences.sequences(features(spark, sf_dir))
+    own = rows.filter(F.col("entity_id") == SOURCE).select("feature", F.col("states").alias("own"))
+    return rows.join(own, "feature").select("entity_id", "feature", F.round(sequences.hamming(F.col("own"), F.col("states"), {"UP": 2.0, "LOW": 0.5}), 6).alias("distance"))
+
+
 def a03_categorical_scores(spark, sf_dir):
     out = attacks.categorical_scores(features(spark, sf_dir), SOURCE)
     return out.select("entity_id", "feature", F.round("exact", 6).alias("exact"), F.round("hamming", 6).alias("hamming"), "n")
@@ -251,6 +264,14 @@ SQL = {
             (a - max(a) OVER w) / max(a) OVER w AS da, (b - max(b) OVER w) / max(b) OVER w AS db FROM pairs {W}),
         c AS (SELECT entity_id, {_corr('ra', 'rb')} AS direct, {_corr('ra', 'b1')} AS lag_1, {_corr('ra', 'b5')} AS lag_5, {_corr('ra', 'b21')} AS lag_21, {_corr('va', 'vb')} AS volatility_similarity, {_corr('da', 'db')} AS drawdown_similarity FROM g GROUP BY ALL)
         SELECT *, direct > 0.9 OR greatest(lag_1, lag_5, lag_21) > 0.8 OR volatility_similarity > 0.85 OR drawdown_similarity > 0.85 AS blocked FROM c""",
+    "x08_ranked_attacks": PAIRS + f""", r AS (SELECT entity_id, bar_idx, ra, rb FROM pairs WHERE bar_idx > 0), s AS (SELECT m.entity_id, c.entity_id AS candidate, abs({_corr('m.rb', 'c.ra')}) AS score FROM r m JOIN r c USING (bar_idx) GROUP BY ALL),
+        o AS (SELECT entity_id, score AS own FROM s WHERE candidate = entity_id), k AS (SELECT entity_id, count(*) FILTER (WHERE score > own OR (score = own AND candidate < entity_id)) + 1 AS rank FROM s JOIN o USING (entity_id) GROUP BY ALL),
+        g AS (SELECT *, lag(rb, 1) OVER w AS b1, lag(rb, 5) OVER w AS b5, lag(rb, 21) OVER w AS b21,
+            CASE WHEN bar_idx >= 20 THEN stddev_samp(ra) OVER (w ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) END AS va, CASE WHEN bar_idx >= 20 THEN stddev_samp(rb) OVER (w ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) END AS vb,
+            (a - max(a) OVER w) / max(a) OVER w AS da, (b - max(b) OVER w) / max(b) OVER w AS db FROM pairs {W}),
+        c AS (SELECT entity_id, {_corr('ra', 'rb')} AS direct, {_corr('ra', 'b1')} AS l1, {_corr('ra', 'b5')} AS l5, {_corr('ra', 'b21')} AS l21, {_corr('va', 'vb')} AS v, {_corr('da', 'db')} AS d FROM g GROUP BY ALL)
+        SELECT entity_id, direct, rank, direct > 0.9 OR greatest(l1, l5, l21) > 0.8 OR v > 0.85 OR d > 0.85 OR coalesce(rank <= 10, true) AS blocked FROM c LEFT JOIN k USING (entity_id)""",
+    "a04_weighted_hamming": LONG + f" SELECT entity_id, feature, round(avg(abs({_ORD % 'state'} - {_ORD % 'own'}) / 4.0 * CASE own WHEN 'UP' THEN 2.0 WHEN 'LOW' THEN 0.5 ELSE 1.0 END), 6) AS distance FROM feats JOIN own USING (relative_week, feature) GROUP BY ALL",
     "a03_categorical_scores": LONG + f" SELECT entity_id, feature, round(avg(CASE WHEN state = own THEN 1.0 ELSE 0.0 END), 6) AS exact, round(1 - avg(abs({_ORD % 'state'} - {_ORD % 'own'}) / 4.0), 6) AS hamming, count(*) AS n FROM feats JOIN own USING (relative_week, feature) GROUP BY ALL",
     "x09_categorical_rank": LONG + RANK + " SELECT entity_id, score, rank, round(coalesce(CASE WHEN rank > 1 THEN up - score ELSE score - down END, 0.0), 6) AS margin FROM ranked",
     "a06_ngram_jaccard": LONG + """, gr AS (SELECT DISTINCT entity_id, feature, g FROM (SELECT entity_id, feature, [state, lead(state) OVER w, lead(state, 2) OVER w] AS g, lead(state, 2) OVER w AS l FROM feats WINDOW w AS (PARTITION BY entity_id, feature ORDER BY relative_week)) WHERE l IS NOT NULL),
@@ -272,4 +293,4 @@ SQL = {
     "p01_bar_faults": BARS + """x AS (SELECT entity_id, bar_idx, open, high, low, close * 1.1 AS close, volume FROM bars), f AS (SELECT entity_id, bar_idx, concat_ws(',', CASE WHEN high < low THEN 'high<low' END, CASE WHEN high < open THEN 'high<open' END, CASE WHEN high < close THEN 'high<close' END, CASE WHEN low > open THEN 'low>open' END, CASE WHEN low > close THEN 'low>close' END, CASE WHEN volume < 0 THEN 'volume<0' END) AS faults FROM x)
         SELECT * FROM f WHERE faults <> ''""",
 }
-QUERIES = {f.__name__: f for f in (w01_log_returns, g01_weekly_bars, g02_blocks, x01_s0_control, x02_s1_basic, x03_s2_residual, x04_s3a_daily, x05_s3b_weekly, x05_s3b_fundamentals, x07_universe_rank, x08_structured_attacks, a03_categorical_scores, x09_categorical_rank, a06_ngram_jaccard, g21_transitions, x18_privacy_gate, g11_structured_utility, g27_backtest, p01_bar_faults)}
+QUERIES = {f.__name__: f for f in (w01_log_returns, g01_weekly_bars, g02_blocks, x01_s0_control, x02_s1_basic, x03_s2_residual, x04_s3a_daily, x05_s3b_weekly, x05_s3b_fundamentals, x07_universe_rank, x08_structured_attacks, x08_ranked_attacks, a04_weighted_hamming, a03_categorical_scores, x09_categorical_rank, a06_ngram_jaccard, g21_transitions, x18_privacy_gate, g11_structured_utility, g27_backtest, p01_bar_faults)}
