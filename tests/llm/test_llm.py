@@ -676,7 +676,7 @@ def test_pii_equals_brute_force():
         lambda: "".join(rng.choice(list("0123456789abcdef"), 32)), lambda: "".join(rng.choice(list("xyz"), 5)) + "@mail.org",
     ]
     seen = Counter()
-    for _ in range(400):
+    for _ in range(800):
         words_ = [x for _ in range(4) for x in (make[rng.integers(0, len(make))](), "plain")]
         text = " ".join(words_)
         got = pii.replacements(text, b"key")
