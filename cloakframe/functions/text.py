@@ -19,6 +19,15 @@ FORMS: tuple[tuple[str, str, str], ...] = (
 )
 
 
+#: What Unicode calls separators of words (Zs), which SQL trims.
+SEPARATORS = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+
+
+def trimmed(text: Column) -> Column:
+    """The text without separators at its ends; Spark's own trim takes plain blanks only."""
+    return F.trim(text, F.lit(SEPARATORS))
+
+
 def tokens(text: Column) -> Column:
     """T29."""
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))

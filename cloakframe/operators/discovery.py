@@ -26,16 +26,23 @@ EXCHANGES = ("NYSE", "NASDAQ", "AMEX", "ARCA")
 PSEUDONYM, SECTION = r"^[A-Z][a-z]+ \d{3}\b", r"(?i)^(?:Item|Part)\s+\d+[A-Z]?\.?\s*"
 
 
-def all_spans(text: Column, patterns: Sequence[str]) -> Column:
+def _blanks_of_sql(pattern: str) -> str:
+    """The pattern with each \\s as SQL's engine has it: without the vertical tab."""
+    blank = r"\t\n\f\r "
+    return regex.sub(r"\[(?:\\.|[^\]\\])+\]|\\.", lambda m: m[0].replace(r"\s", blank) if m[0][0] == "[" else f"[{blank}]" if m[0] == r"\s" else m[0], pattern)
+
+
+def all_spans(text: Column, patterns: Sequence[str], ascii_only: bool = False) -> Column:
     """(pattern, start, end, text) of every match of each pattern that is not empty, in order of pattern and place.
 
     One Arrow pass for all patterns: Spark's own functions give matches without places, and sums over them are quadratic.
-    pattern is the number in `patterns`; places count characters; null and empty texts have no matches."""
+    pattern is the number in `patterns`; places count characters; null and empty texts have no matches. With ascii_only a
+    word, a digit and a blank are ASCII's, as in SQL: then a word ends before an umlaut."""
     kind = pa.list_(pa.struct([("pattern", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())]))
-    patterns = list(patterns)
+    patterns, flags = [_blanks_of_sql(p) if ascii_only else p for p in patterns], regex.ASCII if ascii_only else 0
 
     def run(column: pa.Array) -> pa.Array:
-        compiled = [regex.compile(p) for p in patterns]
+        compiled = [regex.compile(p, flags) for p in patterns]
         out = []
         for item in column:
             body = item.as_py() or ""

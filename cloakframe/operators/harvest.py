@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import trimmed
 from .discovery import all_spans, spans
 
 #: The detectors in order: name, pattern, category, confidence, characters of context, least length, group of the value.
@@ -37,6 +38,8 @@ METADATA = (
     ("company_name", "company name", 0.85), ("issuer_name", "company name", 0.85), ("registrant_name", "company name", 0.85), ("address", "address", 0.85), ("phone", "phone", 0.85),
     ("website", "domain/url", 0.85), ("contact", "person", 0.85), ("accession_number", "accession_number", 0.9), ("cik", "cik", 0.9), ("ticker", "ticker", 0.9),
 )
+#: Sources in order: each detector, URLs and addresses with their domains behind them, then the metadata.
+SOURCES = tuple(x for d in DETECTORS for x in ((d[0], f"extracted:{d[2]}_domain") if d[2] in ("url", "email") else (d[0],))) + tuple(f"metadata:{key}" for key, _, _ in METADATA)
 CANDIDATE = "struct<value:string,category:string,source:string,start:int,end:int,context:string,confidence:double>"
 
 
@@ -45,9 +48,9 @@ def _candidate(value: Column, category: str, source: str, start: Column, end: Co
     return F.struct(*[c.alias(n) for n, c in fields]).cast(CANDIDATE)
 
 
-def candidates(text: Column) -> Column:
+def candidates(text: Column, ascii_only: bool = False) -> Column:
     """Candidates of all detectors, in order of detector and place; URLs and addresses bring their domains with them."""
-    return F.flatten(F.transform(F.array(all_spans(text, [d[1] for d in DETECTORS])), lambda every: _sorted_out(text, every)))
+    return F.flatten(F.transform(F.array(all_spans(text, [d[1] for d in DETECTORS], ascii_only)), lambda every: _sorted_out(text, every)))
 
 
 def _sorted_out(text: Column, every: Column) -> Column:
@@ -56,18 +59,18 @@ def _sorted_out(text: Column, every: Column) -> Column:
 
 def _of_detector(text: Column, every: Column, number: int, source: str, _: str, category: str, confidence: float, around: int, least: int, group: int) -> Column:
     """The candidates of one detector, each URL and address followed by its domain."""
-    found = F.filter(every, lambda s: (s["pattern"] == number) & (F.length(F.trim(s["text"])) >= least))
+    found = F.filter(every, lambda s: (s["pattern"] == number) & (F.length(trimmed(s["text"])) >= least))
     if category == "ticker":
         found = F.filter(found, lambda s: ~F.substring(s["text"], 2, 7).isin(*[f"{x})" for x in NO_TICKER]))
 
     def candidate(s: Column) -> Column:
         first = F.greatest(F.lit(0), s["start"] - around)
         context = F.replace(F.substring(text, first + 1, s["end"] + around - first), F.lit("\n"), F.lit(" "))
-        value = F.regexp_replace(s["text"], r"^\(|\)$", "") if group else F.trim(s["text"])
+        value = F.regexp_replace(s["text"], r"^\(|\)$", "") if group else trimmed(s["text"])
         own = _candidate(value, category, source, s["start"], s["end"], context, confidence)
         if category not in ("url", "email"):
             return F.array(own)
-        domain = F.regexp_extract(s["text"], r"https?://(?:www\.)?([^/\s]+)", 1) if category == "url" else F.element_at(F.split(s["text"], "@"), 2)
+        domain = F.regexp_extract(s["text"], r"https?://(?:www\.)?([^/ \t\n\f\r]+)", 1) if category == "url" else F.element_at(F.split(s["text"], "@"), 2)
         kind = "domain" if category == "url" else "email_domain"
         return F.array(own, _candidate(domain, kind, f"extracted:{category}_domain", s["start"], s["end"], F.substring(context, 1, 60), 0.9))
 
@@ -81,16 +84,18 @@ def from_metadata(metadata: Column) -> Column:
     return F.filter(F.array(*rows), lambda c: F.coalesce(c["value"], F.lit("")) != "")
 
 
-def harvested(docs: DataFrame, metadata_col: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def harvested(docs: DataFrame, metadata_col: str | None = None, id_col: str = "doc_id", text_col: str = "text", ascii_only: bool = False) -> DataFrame:
     """(id, place, value, category, source, start, end, context, confidence): of a document's candidates with one
-    value, in whatever case, the first; null texts have none."""
-    found = candidates(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    value, in whatever case, the first; null texts have none. Of rows that share an id the first detector's counts.
+    ascii_only: as in all_spans."""
+    found = candidates(F.coalesce(F.col(text_col).cast("string"), F.lit("")), ascii_only)
     if metadata_col is not None:
         found = F.concat(found, from_metadata(F.col(metadata_col)))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(found).alias("place", "c")).select("doc_id", "place", "c.*")
-    key = F.lower(F.trim("value"))
+    key = F.lower(trimmed(F.col("value")))
     fields = [c for c in rows.columns if c != "doc_id"]
-    first = rows.groupBy("doc_id", key.alias("_key")).agg(F.min_by(F.struct(*fields), "place").alias("r"))
+    detector = F.array_position(F.array(*[F.lit(x) for x in SOURCES]), F.col("source"))
+    first = rows.groupBy("doc_id", key.alias("_key")).agg(F.min_by(F.struct(*fields), F.struct(detector, "place")).alias("r"))
     return first.select("doc_id", "r.*")
 
 

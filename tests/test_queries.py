@@ -38,3 +38,26 @@ def test_query_equals_sql(spark, duck, name):
 def test_every_sql_has_a_query():
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES)
     assert registry.FLAGSHIP in registry.QUERIES
+
+
+def on_texts(spark, folder, name, texts):
+    """What a query and its SQL give on documents of (doc_id, text)."""
+    folder.joinpath("documents.parquet").mkdir()
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    got, expected = registry.QUERIES[name](spark, str(folder)), con.sql(registry.ORACLE_SQL[name])
+    return rows(got.columns, [tuple(r) for r in got.collect()]), rows(expected.columns, expected.fetchall())
+
+
+@pytest.mark.parametrize("text", [
+    "Atatsh and Enötz", "xüHe and Erach", "at éacme.com", "Acme Widget Inc. of Acme\vCompany", "٢١٢-٥٥٥-٠١٢٣ or 212-555-0123", "http://a.com/x  http://b.com/\vx http:// ", "No. 1٢-3456", None,
+])
+def test_harvest_equals_sql_on_other_letters_and_blanks(spark, tmp_path, text):
+    got, expected = on_texts(spark, tmp_path, "d04_harvest", [(1, text)])
+    assert got == expected
+
+
+def test_harvest_equals_sql_where_rows_share_an_id(spark, tmp_path):
+    got, expected = on_texts(spark, tmp_path, "d04_harvest", [(1, "http://x.io and j@acme.com"), (1, "acme.com"), (2, "Acme and Widget"), (2, "Acme and Widget")])
+    assert got == expected
