@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Tags of financial taxonomies.
-TAXONOMY = r"(?i)\b(?:us-gaap|xbrli|iso4217|utr|srt):|TICKER_[A-Z0-9_]+Member"
+from ..functions.text import trimmed
+
+#: Tags of financial taxonomies. A tag may stand behind any but ASCII's letters, digits and _, as in SQL.
+TAXONOMY = r"(?i)(?<![a-z0-9_])(?:us-gaap|xbrli|iso4217|utr|srt):|TICKER_[A-Z0-9_]+Member"
 #: Keywords in order, and the category of the first that a text holds.
 CATEGORIES = (
     ("shareholder", "shareholder meeting"), ("annual meeting", "shareholder meeting"), ("auditor", "accounting and audit matter"), ("accounting", "accounting and audit matter"),
@@ -30,12 +32,14 @@ EVENTS = (
 #: Amounts with an optional suffix.
 NUMBER = r"\$?\s*(\d[\d,]*(?:\.\d+)?)\s*([KkMm]|[Bb]illion|[Mm]illion|%)?"
 LINES = r"\r\n|\n|\r"
+#: A blank as in SQL; Java's has the vertical tab too.
+BLANK = r"[ \t\n\f\r]"
 SENTENCE = r"[A-Z][^.!?]{25,}[.!?]"
 HEADING = r"(?i)item\s+\d+[a-z]?\.?|page\s+\d+|table of contents|\s"
 
 
 def compact(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return trimmed(F.regexp_replace(text, f"{BLANK}+", " "))
 
 
 def noisy_lines(text: Column) -> Column:
@@ -56,14 +60,16 @@ def rejection(text: Column) -> Column:
         F.when(F.length(F.regexp_replace(one, "[^A-Za-z]", "")) < 500, "fewer than 500 meaningful characters")
         .when(F.regexp_count(one, F.lit(SENTENCE)) < 5, "fewer than 5 usable sentences")
         .when((noise >= 3) | (noise > F.greatest(F.lit(1), F.floor(line_count(text) / 6))), "taxonomy or XBRL noise")
-        .when(F.regexp_replace(one, HEADING, "") == "", "heading-only section")
+        .when(F.regexp_replace(one, HEADING.replace(r"\s", BLANK), "") == "", "heading-only section")
     )
 
 
 def summary(text: Column, sentences: int = 8, limit: int = 2200) -> Column:
     """The first sentences of over 35 characters without taxonomy tags; null where the text or the summary is rejected."""
-    kept = F.filter(F.transform(F.split(F.trim(F.regexp_replace(text, r"[ \t]+", " ")), r"(?<=[.!?])\s+"), F.trim), lambda x: (F.length(x) > 35) & ~x.rlike(TAXONOMY))
-    out = F.trim(F.substring(F.array_join(F.slice(kept, 1, sentences), " "), 1, limit))
+    # by a lambda: a function of two arguments would be given the place of the sentence as the characters to trim
+    parts = F.transform(F.split(trimmed(F.regexp_replace(text, r"[ \t]+", " ")), rf"(?<=[.!?]){BLANK}+"), lambda x: trimmed(x))
+    kept = F.filter(parts, lambda x: (F.length(x) > 35) & ~x.rlike(TAXONOMY))
+    out = trimmed(F.substring(F.array_join(F.slice(kept, 1, sentences), " "), 1, limit))
     return F.when(rejection(text).isNull() & rejection(out).isNull(), out)
 
 

@@ -51,7 +51,7 @@ def on_texts(spark, folder, name, texts):
 
 
 @pytest.mark.parametrize("text", [
-    "Atatsh and Enötz", "xüHe and Erach", "at éacme.com", "Acme Widget Inc. of Acme\vCompany", "٢١٢-٥٥٥-٠١٢٣ or 212-555-0123", "http://a.com/x  http://b.com/\vx http:// ", "No. 1٢-3456", None,
+    "Atatsh and Enötz", "xüHe and Erach", "at éacme.com", "Acme\u00a0Widget Inc. of Acme\vCompany", "٢١٢-٥٥٥-٠١٢٣ or 212-555-0123", "http://a.com/x\u00a0 http://b.com/\vx http://\u00a0", "No.\u20031٢-3456", None,
 ])
 def test_harvest_equals_sql_on_other_letters_and_blanks(spark, tmp_path, text):
     got, expected = on_texts(spark, tmp_path, "d04_harvest", [(1, text)])
@@ -61,3 +61,18 @@ def test_harvest_equals_sql_on_other_letters_and_blanks(spark, tmp_path, text):
 def test_harvest_equals_sql_where_rows_share_an_id(spark, tmp_path):
     got, expected = on_texts(spark, tmp_path, "d04_harvest", [(1, "http://x.io and j@acme.com"), (1, "acme.com"), (2, "Acme and Widget"), (2, "Acme and Widget")])
     assert got == expected
+
+
+_LONG = "This is a sentence that is long enough to be counted as one of them, and it says here and now what the others say. "
+
+
+@pytest.mark.parametrize(("text", "kept"), [
+    (_LONG * 5 + "5 apples and pears are what this long sentence is about. 6.5 or more of them are what this one is about! ", True),
+    (_LONG * 7 + "100 or 7 have no mark behind them in the last sentence of this text 7", True),
+    (_LONG * 4 + "\u00a0" + _LONG.replace(". ", ".\u00a0 \u3000 ") * 4, True), (_LONG.replace(" counted", "\vcounted").replace(". ", ".\v") * 9, True),
+    (_LONG * 6 + "This one has the tag \u00fcutr:x and is no sentence to be kept. ", True), (_LONG * 2, False), ("", False), (None, False),
+])
+def test_summary_equals_sql_on_digits_blanks_and_tags(spark, tmp_path, text, kept):
+    got, expected = on_texts(spark, tmp_path, "t31_summary", [(1, text)])
+    assert got == expected
+    assert ("None" not in got[0]) == kept
