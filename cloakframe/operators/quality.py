@@ -54,14 +54,14 @@ def line_count(text: Column) -> Column:
 def rejection(text: Column) -> Column:
     """Why a text is of no use, or null. A null text is an empty one."""
     text = F.coalesce(text, F.lit(""))
-    one = compact(text)
-    noise = noisy_lines(text)
-    return (
-        F.when(F.length(F.regexp_replace(one, "[^A-Za-z]", "")) < 500, "fewer than 500 meaningful characters")
+    bound = lambda value, then: F.get(F.transform(F.array(value), then), F.lit(0))  # noqa: E731  a value is made once, not for each use
+    noisy = bound(noisy_lines(text), lambda n: (n >= 3) | ((n > 1) & (n > F.floor(line_count(text) / 6))))
+    return bound(compact(text), lambda one: (
+        F.when(F.length(F.regexp_replace(one, "[^A-Za-z]+", "")) < 500, "fewer than 500 meaningful characters")
         .when(F.regexp_count(one, F.lit(SENTENCE)) < 5, "fewer than 5 usable sentences")
-        .when((noise >= 3) | (noise > F.greatest(F.lit(1), F.floor(line_count(text) / 6))), "taxonomy or XBRL noise")
+        .when(noisy, "taxonomy or XBRL noise")
         .when(F.regexp_replace(one, HEADING.replace(r"\s", BLANK), "") == "", "heading-only section")
-    )
+    ))
 
 
 def summary(text: Column, sentences: int = 8, limit: int = 2200) -> Column:
@@ -70,7 +70,8 @@ def summary(text: Column, sentences: int = 8, limit: int = 2200) -> Column:
     parts = F.transform(F.split(trimmed(F.regexp_replace(text, r"[ \t]+", " ")), rf"(?<=[.!?]){BLANK}+"), lambda x: trimmed(x))
     kept = F.filter(parts, lambda x: (F.length(x) > 35) & ~x.rlike(TAXONOMY))
     out = trimmed(F.substring(F.array_join(F.slice(kept, 1, sentences), " "), 1, limit))
-    return F.when(rejection(text).isNull() & rejection(out).isNull(), out)
+    # the transform binds the summary once; it would be made again for each rule
+    return F.when(rejection(text).isNull(), F.get(F.transform(F.array(out), lambda o: F.when(rejection(o).isNull(), o)), F.lit(0)))
 
 
 def event_category(text: Column) -> Column:
